@@ -1,7 +1,7 @@
 """The queries of this subpackage and their SQL, for the repository's entry point."""
 
-from . import exact_dedup, simhash
+from . import decontaminate, exact_dedup, licenses, line_dedup, mixing, simhash, url_filter
 
-MODULES = (exact_dedup, simhash)
+MODULES = (mixing, simhash, licenses, line_dedup, decontaminate, exact_dedup, url_filter)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
