@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,3 +98,22 @@ def normal_words(text: Column) -> Column:
 def row_key(*columns: str) -> Column:
     """A hash that tells rows with the same id but other contents apart (together with the id itself)."""
     return F.xxhash64(*columns)
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts in one row (null: none), and where each text starts, with the end of the last."""
+    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+    texts = texts.cast(pa.large_string()).fill_null("")
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    return (np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.zeros(0, np.uint8)), ends - ends[0]
+
+
+def byte_slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Row ranges whose texts have ``limit`` bytes together, or one row; they bound what numpy holds at a time."""
+    sizes = np.cumsum(np.nan_to_num(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False).astype(float)))
+    i = 0
+    while i < len(sizes):
+        j = max(i + 1, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + limit, "right")))
+        yield i, j
+        i = j
