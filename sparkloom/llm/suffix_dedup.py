@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import byte_slices, load, materialize, row_key, text_bytes, text_or_empty
 from .deep_shallow import suffix_order
+from .hashing import mixed, power, range_hashes
 
 LENGTH, GRAM = 100, 24
 #: Bytes of text that one step works on, and anchors that a task combines at a time.
@@ -25,40 +26,17 @@ _NO_ID = -(1 << 63)
 _MARK = "oid bigint, key bigint, start bigint, end bigint"
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-_BASE = 0x9E3779B97F4A7C15 | 1
-
-
-def _powers(n: int) -> int:
-    return pow(_BASE, n, 1 << 64)
-
-
 def _gram_hashes(data: np.ndarray, n: int) -> np.ndarray:
     """Hash of the ``n`` bytes from each place on, by joining hashes of power-of-two lengths."""
     out, have = None, 0
-    h, size = _mixed(data.astype(np.uint64) + np.uint64(1)), 1
+    h, size = mixed(data.astype(np.uint64) + np.uint64(1)), 1
     while True:
         if n & size:
-            out, have = (h, size) if out is None else (h[: len(h) - have] * np.uint64(_powers(have)) + out[size:][: len(h) - have], have + size)
+            out, have = (h, size) if out is None else (h[: len(h) - have] * np.uint64(power(have)) + out[size:][: len(h) - have], have + size)
         size *= 2
         if size > n:
             return out
-        h = h[: len(h) - size // 2] * np.uint64(_powers(size // 2)) + h[size // 2 :]
-
-
-def _prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For hashes of any range of bytes: sums of byte values times powers, and the powers."""
-    powers = np.full(len(data) + 1, np.uint64(_BASE))
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_mixed(data.astype(np.uint64) + np.uint64(7)) * powers[:-1], out=sums[1:])
-    return sums, powers
+        h = h[: len(h) - size // 2] * np.uint64(power(size // 2)) + h[size // 2 :]
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -75,7 +53,7 @@ def _anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     none = (np.zeros(0, np.int64),) * 6
     if len(data) < LENGTH:
         return none
-    grams = _mixed(_gram_hashes(data, GRAM))
+    grams = mixed(_gram_hashes(data, GRAM))
     reach = LENGTH - GRAM + 1
     low = (1 << 24) - 1
     keyed = (grams & np.uint64(~low & (1 << 64) - 1)) | np.arange(len(grams), dtype=np.uint64)  # ties: the first one
@@ -89,20 +67,11 @@ def _anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         return none
     upto = np.append(np.nonzero(first)[0], len(best))
     upto = np.minimum(upto[np.searchsorted(upto, at, "right")], ends[row[at] + 1] - LENGTH + 1)
-    sums, powers = _prefix_sums(data)
     stop = upto + LENGTH - 1
-    # The range's hash is independent of its place: it is scaled up to the last power, by the inverse of its own.
-    around = (sums[stop] - sums[at]) * _inverse_powers(powers, at)
-    around = _mixed(around ^ ((stop - at).astype(np.uint64) << np.uint64(20)) ^ (best[at] - at).astype(np.uint64))
+    around = mixed(range_hashes(data, at, stop) ^ (best[at] - at).astype(np.uint64))
     return row[at], grams[best[at]].view(np.int64), around.view(np.int64), at - ends[row[at]], upto - at, best[at] - at
 
 
-def _inverse_powers(powers: np.ndarray, at: np.ndarray) -> np.ndarray:
-    inverse = np.full(len(powers), np.uint64(pow(_BASE, -1, 1 << 64)))
-    inverse[0] = 1
-    return np.multiply.accumulate(inverse)[at]
-
-
 def _pack(first: np.ndarray, count: np.ndarray, off: np.ndarray) -> np.ndarray:
     return first << 16 | count << 8 | off
 
@@ -147,7 +116,7 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for lo in range(0, len(order), 200_000):
             o = order[lo : lo + 200_000]
             yield _batch(np.zeros(len(o), np.int8), h[o], around[o], oid[o], key[o], span[o])
-        spread = _mixed(m_oid.astype(np.uint64) ^ m_key.astype(np.uint64)).view(np.int64)
+        spread = mixed(m_oid.astype(np.uint64) ^ m_key.astype(np.uint64)).view(np.int64)
         yield _batch(np.ones(len(m_oid), np.int8), spread, m_end, m_oid, m_key, m_start)
         held.clear()
 
