@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import scratch_path
+
 
 def read(spark: SparkSession, sf_dir: str, name: str = "events") -> DataFrame:
     """The table's files as a stream; times are instants, as watermarks need."""
@@ -37,7 +37,7 @@ def distinct_events(events: DataFrame, late: str = "10 minutes") -> DataFrame:
 def run_available(stream: DataFrame, path: str, mode: str = "append", checkpoint: str | None = None) -> None:
     """All that is there now, exactly once, to Parquet files at ``path``.
 
-    ``checkpoint`` must be a folder that outlives the query; without one a run can't be continued."""
-    where = checkpoint or tempfile.mkdtemp(prefix="stream-")
+    ``checkpoint`` must be a folder that outlives the query; without one, a run can't be continued."""
+    where = checkpoint or scratch_path(stream.sparkSession, "stream")
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", where).trigger(availableNow=True).format("parquet").start(path)
     query.awaitTermination()
