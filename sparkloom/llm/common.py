@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +11,10 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import scratch_path, shared_dir
+
+__all__ = ["scratch_path", "shared_dir"]
+
 #: ASCII white space as the text contracts define it: space and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
@@ -27,29 +29,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
-
-    Where it is unset, a local master gets a temporary folder; a cluster must name a shared one."""
-    sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if found is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="sparkloom-")
-        sc.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, what: str) -> str:
-    """A new path in the shared folder, deleted when the driver's JVM ends."""
-    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
-
-
 def materialize(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends in files that outlive any executor."""
     spark = df.sparkSession
@@ -100,6 +79,17 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*columns)
 
 
+def packed(docs: DataFrame) -> Column:
+    """The whole row as one value, so that no column of an operator can clash with one of its input."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def unpacked(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` out of its packed rows, some of them changed; further names are added."""
+    kept = [changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
+    return kept + [x.alias(c) for c, x in changed.items() if c not in docs.columns]
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts in one row (null: none), and where each text starts, with the end of the last."""
     texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts

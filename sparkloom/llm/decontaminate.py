@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, load, materialize, normal_words, row_key, sized, text_or_empty
+from .common import let, load, materialize, normal_words, packed, row_key, sized, text_or_empty, unpacked
 
 #: Words of a token; a window with fewer words is one token.
 TOKEN_WORDS = 5
@@ -112,8 +112,9 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10, id_col: st
 def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """``docs`` without the rows in which a window occurs."""
     found = materialize(find_windows(docs, items, width).select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct(), "contaminated")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (row_key("doc_id", "text") == F.col("_key"))
-    return docs.join(sized(found), same, "left_anti").select(*docs.columns)
+    rows = docs.select(packed(docs).alias("row"), F.col("doc_id").alias("id"), row_key("doc_id", "text").alias("key"))
+    clean = rows.join(sized(found), rows["id"].eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_anti")
+    return clean.select(*unpacked(docs))
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

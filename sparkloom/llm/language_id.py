@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_slices, load, materialize, sized, text_bytes
+from .common import byte_slices, load, materialize, packed, sized, text_bytes, unpacked
 
 LANGUAGES = ("de", "en", "es", "fr")
 #: Languages that an address suffix suggests.
@@ -99,17 +99,8 @@ def _domain(host: Column) -> Column:
     return F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2))
 
 
-def identify(
-    docs: DataFrame, host: Column, languages: tuple[str, ...] = LANGUAGES, sample_rows: int = SAMPLE_ROWS, text_col: str = "text", declared_col: str = "lang", labels: DataFrame | None = None
-) -> DataFrame:
-    """``docs`` with ``language`` ('und' where it can't be told), ``confidence`` (its posterior), ``text_language``
-    (what the text alone says) and ``text_score`` (its mean log-likelihood).
-
-    ``host`` is a name with or without dots; its last label is looked up as an address suffix. ``labels`` are rows
-    that the text model and the host priors learn from (default: ``docs``), with their declared languages. Null or
-    unknown declarations, hosts and suffixes are no evidence; an unknown host has the prior of its absence, all
-    languages alike. Null, empty and letterless texts are 'und'. Repeated rows each give their row; an empty table
-    gives no rows. Columns with the added names are replaced."""
+def _identified(docs: DataFrame, host: Column, languages: tuple[str, ...], sample_rows: int, text_col: str, declared_col: str, labels: DataFrame | None) -> DataFrame:
+    """``row``, the packed row, and ``found``, what ``identify`` adds."""
     labels = docs if labels is None else labels
     model = text_model(labels, languages, sample_rows, text_col, declared_col)
     priors = sized(materialize(host_priors(labels, languages, F.lower(host), declared_col).withColumnsRenamed({"host": "_host", "prior": "_prior"}), "priors"))
@@ -152,14 +143,30 @@ def identify(
             names=["language", "confidence", "text_language", "text_score"],
         )
 
-    joined = docs.withColumn("_key", F.lower(host)).join(priors, F.col("_key") == F.col("_host"), "left")
-    fused = joined.withColumn("_f", fuse(F.col(text_col), F.coalesce("_prior", even), index(F.col(declared_col)), index(suggested)))
-    return fused.withColumns({c: F.col("_f")[c] for c in ("language", "confidence", "text_language", "text_score")}).drop("_key", "_host", "_prior", "_f")
+    rows = docs.select(packed(docs).alias("row"), F.col(text_col).alias("text"), F.lower(host).alias("host"), index(F.col(declared_col)).alias("declared"), index(suggested).alias("suffixed"))
+    joined = rows.join(priors, rows["host"] == F.col("_host"), "left")
+    return joined.select("row", fuse(F.col("text"), F.coalesce("_prior", even), F.col("declared"), F.col("suffixed")).alias("found"))
+
+
+def identify(
+    docs: DataFrame, host: Column, languages: tuple[str, ...] = LANGUAGES, sample_rows: int = SAMPLE_ROWS, text_col: str = "text", declared_col: str = "lang", labels: DataFrame | None = None
+) -> DataFrame:
+    """``docs`` with ``language`` ('und' where it can't be told), ``confidence`` (its posterior), ``text_language``
+    (what the text alone says) and ``text_score`` (its mean log-likelihood).
+
+    ``host`` is a name with or without dots; its last label is looked up as an address suffix. ``labels`` are rows
+    that the text model and the host priors learn from (default: ``docs``), with their declared languages. Null or
+    unknown declarations, hosts and suffixes are no evidence; an unknown host has the prior of its absence, all
+    languages alike. Null, empty and letterless texts are 'und'. Repeated rows each give their row; an empty table
+    gives no rows. Columns with the added names are replaced."""
+    out = _identified(docs, host, languages, sample_rows, text_col, declared_col, labels)
+    return out.select(*unpacked(docs, **{c: F.col("found")[c] for c in ("language", "confidence", "text_language", "text_score")}))
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """``documents`` whose language can be told; the others go."""
-    return identify(docs, F.col("source")).where("language <> 'und'").select(*docs.columns)
+    out = _identified(docs, F.col("source"), LANGUAGES, SAMPLE_ROWS, "text", "lang", None)
+    return out.where("found.language <> 'und'").select(*unpacked(docs))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, let, load, materialize, row_key, text_or_empty
+from .common import SPACE_CHARS, let, load, materialize, packed, row_key, text_or_empty, unpacked
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -66,6 +66,23 @@ def repeated_runs(docs: DataFrame, min_words: int, id_col: str = "doc_id", text_
     return rows.join(origin, ["fp", "content"]).where(~start.eqNullSafe(F.col("origin"))).select("id", "key", "first", "last")
 
 
+def _deduped(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
+    """``row`` (packed), ``left`` (the text that stays), ``n_lines`` and ``n_removed``."""
+    runs = repeated_runs(docs, min_words, id_col, text_col)
+    marks = materialize(runs.groupBy("id", "key").agg(F.collect_set(F.struct("first", "last")).alias("runs")), "line_marks").withColumnsRenamed({"id": "_id", "key": "_key"})
+    rows = docs.select(packed(docs).alias("row"), F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    joined = rows.join(marks, rows["id"].eqNullSafe(marks["_id"]) & (rows["key"] == marks["_key"]), "left")
+    lines = F.split("text", "\n")
+    covered = F.array_distinct(F.flatten(F.transform("runs", lambda s: F.sequence(s["first"], s["last"]))))
+    kept = let(lines, lambda all_: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), covered), lambda p: F.get(all_, p)), "\n"))
+    return joined.select(
+        "row",
+        F.when(F.col("runs").isNull(), F.col("text")).otherwise(kept).alias("left"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
+        F.when(F.col("runs").isNull(), 0).otherwise(F.size(covered)).cast("bigint").alias("n_removed"),
+    )
+
+
 def dedup_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` less the lines of repeated runs, and with ``n_lines`` and ``n_removed``.
 
@@ -74,27 +91,15 @@ def dedup_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id", te
     the same one. Lines are compared without white space at their ends; blank lines never tell runs apart, and go
     if they are between lines of one window. Rows repeated with id and text count as one and stay alike. Null text stays null,
     with no lines. An empty table gives no rows. Columns named n_lines or n_removed are replaced."""
-    runs = repeated_runs(docs, min_words, id_col, text_col)
-    marks = materialize(runs.groupBy("id", "key").agg(F.collect_set(F.struct("first", "last")).alias("_runs")), "line_marks")
-    marks = marks.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "_runs")
-    keyed = docs.withColumn("_own", row_key(id_col, text_col))
-    joined = keyed.join(marks, keyed[id_col].eqNullSafe(marks["_id"]) & (F.col("_own") == marks["_key"]), "left")
-    lines = F.split(F.col(text_col), "\n")
-    covered = F.array_distinct(F.flatten(F.transform("_runs", lambda s: F.sequence(s["first"], s["last"]))))
-    kept = let(lines, lambda all_: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), covered), lambda p: F.get(all_, p)), "\n"))
-    out = joined.withColumns({
-        "n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("bigint"),
-        "n_removed": F.when(F.col("_runs").isNull(), 0).otherwise(F.size(covered)).cast("bigint"),
-        text_col: F.when(F.col("_runs").isNull(), F.col(text_col)).otherwise(kept),
-    })
-    return out.drop("_id", "_key", "_runs", "_own")
+    out = _deduped(docs, min_words, id_col, text_col)
+    return out.select(*unpacked(docs, **{text_col: F.col("left"), "n_lines": F.col("n_lines"), "n_removed": F.col("n_removed")}))
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
     """``documents`` less the lines of repeated runs; documents of which nothing but white space is left go."""
-    out = dedup_lines(docs, min_words)
-    left = (F.col("n_removed") == 0) | (F.btrim("text", F.lit(SPACE_CHARS)) != "")
-    return out.where(left).withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.char_length("text"))).select(*docs.columns)
+    out = _deduped(docs, min_words, "doc_id", "text").where((F.col("n_removed") == 0) | (F.btrim("left", F.lit(SPACE_CHARS)) != ""))
+    n_chars = F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.char_length("left"))
+    return out.select(*unpacked(docs, text=F.col("left"), n_chars=n_chars))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, materialize, sized, text_or_empty
+from .common import load, materialize, packed, sized, text_or_empty, unpacked
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -48,6 +48,31 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 5) -> di
     return factors
 
 
+def _calibrated(docs: DataFrame, margins: list[str], powers: list[float], sweeps: int, fraction: float, seed: str, id_col: str, text_col: str) -> DataFrame:
+    """``row`` (packed) and the columns that ``calibrated`` adds. The margin 'topic' is the one found here."""
+    topic = topic_of(F.col(text_col))
+    value = {m: f"m{i}" for i, m in enumerate(margins)}
+    rows = docs.select(
+        packed(docs).alias("row"), F.col(id_col).cast("string").alias("id"), topic.alias("topic"), F.regexp_count(text_or_empty(text_col), F.lit(_WORD)).cast("bigint").alias("n_tokens"),
+        *[(topic if m == "topic" else F.coalesce(F.col(m).cast("string"), F.lit(""))).alias(c) for m, c in value.items()],
+    )
+    own = list(value.values())
+    cells = materialize(rows.groupBy(*own).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "cells")
+    targets = {c: tempered(cells, c, p) for c, p in zip(own, powers, strict=True)}
+    factors = rake(cells, targets, sweeps)
+    product = reduce(lambda a, b: a * b, [F.col(f"f_{c}") for c in own])
+    largest = cells
+    for c, factor in factors.items():
+        largest = largest.join(factor, c)
+        rows = rows.join(factor, c, "left")
+    largest = materialize(largest.agg(F.max(product).alias("largest")), "largest")
+    rows = rows.crossJoin(F.broadcast(largest))  # one row
+    weight = F.coalesce(product, F.lit(0.0))
+    uniform = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("id", F.lit("")))), 1, 13), 16, 10).cast("double") / float(1 << 52)
+    probability = F.coalesce(F.round(weight / F.col("largest") * fraction, 6), F.lit(0.0))
+    return rows.select("row", "topic", "n_tokens", F.round(weight, 6).alias("weight"), probability.alias("probability"), (uniform < probability).alias("sampled"))
+
+
 def calibrated(docs: DataFrame, margins: list[str], powers: list[float], sweeps: int = 5, fraction: float = 1.0, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``topic``, ``n_tokens``, ``weight`` (of each of the document's tokens, 1 on average),
     ``probability`` and ``sampled``.
@@ -56,27 +81,8 @@ def calibrated(docs: DataFrame, margins: list[str], powers: list[float], sweeps:
     have the target shares exactly. A document is sampled if a hash of ``seed`` and its id falls below its
     probability: repeated ids fall together, and no row's fate depends on others. A null margin counts as the value
     ''; null text has no tokens and, alone in its cell, probability zero. Columns with the added names are replaced."""
-    rows = docs.withColumns({
-        "topic": topic_of(docs[text_col]),
-        "n_tokens": F.regexp_count(text_or_empty(docs[text_col]), F.lit(_WORD)).cast("bigint"),
-    })
-    own = {m: f"_m_{m}" for m in margins}
-    rows = rows.withColumns({c: F.coalesce(F.col(m).cast("string"), F.lit("")) for m, c in own.items()})
-    cells = materialize(rows.groupBy(*own.values()).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "cells")
-    targets = {c: tempered(cells, c, p) for c, p in zip(own.values(), powers, strict=True)}
-    factors = rake(cells, targets, sweeps)
-    product = reduce(lambda a, b: a * b, [F.col(f"f_{c}") for c in own.values()])
-    largest = cells
-    for c, factor in factors.items():
-        largest = largest.join(factor, c)
-    largest = materialize(largest.agg(F.max(product).alias("_largest")), "largest")
-    for c, factor in factors.items():
-        rows = rows.join(factor, c, "left")
-    rows = rows.crossJoin(F.broadcast(largest))  # one row
-    weight = F.coalesce(product, F.lit(0.0))
-    uniform = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double") / float(1 << 52)
-    probability = F.coalesce(F.round(weight / F.col("_largest") * fraction, 6), F.lit(0.0))
-    return rows.withColumns({"weight": F.round(weight, 6), "probability": probability, "sampled": uniform < probability}).drop(*own.values(), *[f"f_{c}" for c in own.values()], "_largest")
+    out = _calibrated(docs, margins, powers, sweeps, fraction, seed, id_col, text_col)
+    return out.select(*unpacked(docs, **{c: F.col(c) for c in ("topic", "n_tokens", "weight", "probability", "sampled")}))
 
 
 #: Production margins and the powers that temper their shares.
@@ -85,7 +91,8 @@ MARGINS, POWERS, SWEEPS = ["source", "lang", "topic"], [0.85, 0.85, 0.9], 5
 
 def mix(docs: DataFrame) -> DataFrame:
     """The sampled documents, with their columns and ``weight`` and ``probability``."""
-    return calibrated(docs, MARGINS, POWERS, SWEEPS).where("sampled").select(*docs.columns, "weight", "probability")
+    out = _calibrated(docs, MARGINS, POWERS, SWEEPS, 1.0, "mix", "doc_id", "text").where("sampled")
+    return out.select(*unpacked(docs, weight=F.col("weight"), probability=F.col("probability")))
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, let, load, materialize, sized, space_words, text_or_empty
 from .components import connected_components
+from .hashing import mixed
 
 #: Rows of one anchor compared in one task; more are dealt out in parts, and each two parts meet in a task.
 CELL_ROWS = 4096
@@ -34,11 +35,14 @@ def shingle_hashes(text: Column, k: int) -> Column:
     return let(space_words(ascii_lower(text)), of)
 
 
-def _majorities(hashes: pa.Array) -> np.ndarray:
-    """For each list of 64-bit hashes, the bits that are set in over half of them."""
+def _majorities(hashes: pa.Array, sketch: int = 0) -> np.ndarray:
+    """For each list of 64-bit hashes, the bits that are set in over half of them; of other hashes made from these
+    for each further sketch."""
     hashes = hashes.combine_chunks() if isinstance(hashes, pa.ChunkedArray) else hashes
     ends = hashes.offsets.to_numpy().astype(np.int64)
     values = hashes.values.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+    if sketch:
+        values = mixed(values.view(np.uint64) ^ np.uint64(sketch * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).view(np.int64)
     out = np.zeros(len(hashes), np.uint64)
     i = 0
     while i < len(hashes):
@@ -54,16 +58,20 @@ def _majorities(hashes: pa.Array) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, k: int, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and ``fp``, the fingerprint as a signed bigint. Text without words has fingerprint zero."""
+def fingerprints(docs: DataFrame, k: int, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), sketches: int = 1) -> DataFrame:
+    """The columns ``keep`` and ``fp``, the fingerprint as a signed bigint; further independent sketches are ``fp1``,
+    ``fp2`` and so on. Text without words has fingerprint zero."""
     rows = docs.select(*keep, shingle_hashes(text_or_empty(docs[text_col]), k).alias("_hashes"))
+    names = ["fp", *[f"fp{n}" for n in range(1, sketches)]]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = pa.array(_majorities(batch.column(len(keep))).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], fp], names=[*keep, "fp"])
+            fps = [pa.array(_majorities(batch.column(len(keep)), n).view(np.int64)) for n in range(sketches)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *fps], names=[*keep, *names])
 
-    schema = docs.select(*keep).schema.add("fp", "long")
+    schema = docs.select(*keep).schema
+    for name in names:
+        schema = schema.add(name, "long")
     return rows.mapInArrow(of, schema)
 
 
@@ -181,28 +189,42 @@ def fingerprint_links(prints: DataFrame, distance: int, cell_rows: int = CELL_RO
     return ordered.mapInArrow(_cell_links(3, distance), "a bigint, b bigint")
 
 
-def near_duplicate_groups(docs: DataFrame, k: int = 5, distance: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _sketch_links(rows: DataFrame, name: str, distance: int) -> DataFrame:
+    """The links of a further sketch, between first fingerprints: each value of the sketch stands for the least first
+    fingerprint it comes with, and others of that value are linked to it."""
+    met = rows.select(F.col(name).alias("s"), "fp").distinct()
+    stand_in = materialize(met.groupBy("s").agg(F.min("fp").alias("fp"), F.max("fp").alias("top")), "stand_ins")
+    same = met.join(stand_in.where("fp <> top").select("s", F.col("fp").alias("b")), "s").select(F.col("fp").alias("a"), "b")
+    links = fingerprint_links(stand_in.select(F.col("s").alias("fp")), distance)
+    ends = [stand_in.select(F.col("s").alias(x), F.col("fp").alias(f"{x}_fp")) for x in ("a", "b")]
+    return same.unionAll(links.join(ends[0], "a").join(ends[1], "b").select("a_fp", "b_fp"))
+
+
+def near_duplicate_groups(docs: DataFrame, k: int = 5, distance: int = 6, sketches: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: ``id_col``, ``fp`` and ``component_id``, the smallest id that can be reached
-    over links of fingerprints that differ in at most ``distance`` bits.
+    over links of fingerprints that differ in at most ``distance`` bits, in any of ``sketches`` independent ones.
 
     Null text counts as empty. Rows with a null id are grouped like others; a group of null ids only has a null
     component. Equal ids and repeated rows each give their row. No rows give no rows."""
-    rows = materialize(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, keep=("id",)), "fingerprints")
+    rows = materialize(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, keep=("id",), sketches=sketches), "fingerprints")
     prints = materialize(rows.groupBy("fp").agg(F.min("id").alias("first_id")), "prints")
-    labels = connected_components(fingerprint_links(prints.select("fp"), distance))
+    links = fingerprint_links(prints.select("fp"), distance)
+    for n in range(1, sketches):
+        links = links.unionAll(_sketch_links(rows, f"fp{n}", distance))
+    labels = connected_components(links)
     classed = prints.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
     least = classed.groupBy("label").agg(F.min("first_id").alias("component_id"))
     of_print = materialize(classed.join(least, "label").select("fp", "component_id"), "classes")
-    return rows.join(of_print, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return rows.select("id", "fp").join(of_print, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, k: int = 5, distance: int = 7) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, k: int = 5, distance: int = 6, sketches: int = 4) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, the one with the smallest id.
 
     Rows with a null id stay; so do repeated rows of the id that stays."""
-    groups = near_duplicate_groups(docs.where("doc_id IS NOT NULL"), k, distance)
+    groups = near_duplicate_groups(docs.where("doc_id IS NOT NULL"), k, distance, sketches)
     dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(sized(materialize(dropped, "dropped")), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(sized(materialize(dropped, "dropped")), "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
