@@ -34,7 +34,7 @@ LICENSES = {
     "mit": ("mit licen", "(?:mit x11|x11 mit|mit) licen[cs]e", "mit"),
     "mit-0": ("no attribution", "mit no attribution(?: licen[cs]e)?", "mit 0"),
     "apache-1": ("apache", "apache (?:software )?licen[cs]e (?:version |v )?1(?: [01])?", "apache 1 [01]"),
-    "apache-2": ("apache", "(?:apache (?:software )?licen[cs]e(?: version| v)? 2(?: 0)?|apache 2(?: 0)?(?: licen[cs]e)?|asl 2 0)", "apache 2 0"),
+    "apache-2": ("apache", "(?:apache (?:software )?licen[cs]e(?: version| v)? ?2(?: 0)?|apache 2(?: 0)?(?: licen[cs]e)?|asl 2 0)", "apache 2 0"),
     "bsd": ("bsd", "(?:new |revised |original |simplified )?bsd(?: style)? licen[cs]e", "bsd"),
     "bsd-2": ("bsd", "(?:2 clause bsd|bsd 2 clause|simplified bsd|freebsd)(?: licen[cs]e)?", "bsd 2 clause"),
     "bsd-3": ("bsd", "(?:3 clause bsd|bsd 3 clause|new bsd|modified bsd|revised bsd)(?: licen[cs]e)?", "bsd 3 clause"),
@@ -42,24 +42,24 @@ LICENSES = {
     "0bsd": ("bsd", "(?:zero clause bsd|bsd zero clause|0bsd)(?: licen[cs]e)?", "0bsd"),
     "isc": ("isc ", "isc licen[cs]e", "isc"),
     "gpl": ("general public", "(?:gnu )?general public licen[cs]e", "gpl"),
-    "gpl-1": ("general public", "(?:gnu )?general public licen[cs]e(?: as published)?(?: version| v)? 1(?: 0)?", "gpl 1 0(?: only| or later)?"),
+    "gpl-1": ("general public", "(?:gnu )?general public licen[cs]e(?: as published)?(?: version| v)? ?1(?: 0)?", "gpl 1 0(?: only| or later)?"),
     "gpl-2": ("general public", "(?:gnu )?general public licen[cs]e(?: as published)?(?: version| v)? ?2(?: 0)?", "gpl 2 0(?: only| or later)?"),
     "gpl-3": ("general public", "(?:gnu )?general public licen[cs]e(?: as published)?(?: version| v)? ?3(?: 0)?", "gpl 3 0(?: only| or later)?"),
     "gpl-2-short": ("gpl", "(?:gnu )?gpl ?(?:version |v )?v?2(?: 0)?", "gplv2"),
     "gpl-3-short": ("gpl", "(?:gnu )?gpl ?(?:version |v )?v?3(?: 0)?", "gplv3"),
     "lgpl": ("lesser general", "(?:gnu )?lesser general public licen[cs]e", "lgpl"),
-    "lgpl-2": ("library general", "(?:gnu )?library general public licen[cs]e(?: version| v)? 2(?: 0)?", "lgpl 2 0(?: only| or later)?"),
-    "lgpl-2.1": ("lesser general", "(?:gnu )?lesser general public licen[cs]e(?: version| v)? 2 1", "lgpl 2 1(?: only| or later)?"),
-    "lgpl-3": ("lesser general", "(?:gnu )?lesser general public licen[cs]e(?: version| v)? 3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
+    "lgpl-2": ("library general", "(?:gnu )?library general public licen[cs]e(?: version| v)? ?2(?: 0)?", "lgpl 2 0(?: only| or later)?"),
+    "lgpl-2.1": ("lesser general", "(?:gnu )?lesser general public licen[cs]e(?: version| v)? ?2 1", "lgpl 2 1(?: only| or later)?"),
+    "lgpl-3": ("lesser general", "(?:gnu )?lesser general public licen[cs]e(?: version| v)? ?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
     "agpl": ("affero", "(?:gnu )?affero general public licen[cs]e", "agpl"),
-    "agpl-3": ("affero", "(?:gnu )?affero general public licen[cs]e(?: version| v)? 3(?: 0)?", "agpl 3 0(?: only| or later)?"),
+    "agpl-3": ("affero", "(?:gnu )?affero general public licen[cs]e(?: version| v)? ?3(?: 0)?", "agpl 3 0(?: only| or later)?"),
     "fdl": ("documentation", "(?:gnu )?free documentation licen[cs]e", "gfdl"),
-    "fdl-1.3": ("documentation", "(?:gnu )?free documentation licen[cs]e(?: version| v)? 1 [123]", "gfdl 1 [123](?: only| or later)?"),
+    "fdl-1.3": ("documentation", "(?:gnu )?free documentation licen[cs]e(?: version| v)? ?1 [123]", "gfdl 1 [123](?: only| or later)?"),
     "mpl": ("mozilla", "mozilla public licen[cs]e", "mpl"),
-    "mpl-1.1": ("mozilla", "mozilla public licen[cs]e(?: version| v)? 1 [01]", "mpl 1 [01]"),
-    "mpl-2": ("mozilla", "mozilla public licen[cs]e(?: version| v)? 2(?: 0)?", "mpl 2 0"),
-    "epl-1": ("eclipse", "eclipse public licen[cs]e(?: version| v)? 1(?: 0)?", "epl 1 0"),
-    "epl-2": ("eclipse", "eclipse public licen[cs]e(?: version| v)? 2(?: 0)?", "epl 2 0"),
+    "mpl-1.1": ("mozilla", "mozilla public licen[cs]e(?: version| v)? ?1 [01]", "mpl 1 [01]"),
+    "mpl-2": ("mozilla", "mozilla public licen[cs]e(?: version| v)? ?2(?: 0)?", "mpl 2 0"),
+    "epl-1": ("eclipse", "eclipse public licen[cs]e(?: version| v)? ?1(?: 0)?", "epl 1 0"),
+    "epl-2": ("eclipse", "eclipse public licen[cs]e(?: version| v)? ?2(?: 0)?", "epl 2 0"),
     "cddl": ("common development", "common development and distribution licen[cs]e(?: version)?(?: 1 [01])?", "cddl 1 [01]"),
     "cpl": ("common public", "common public licen[cs]e(?: version)?(?: 1 0)?", "cpl 1 0"),
     "eupl": ("european union", "european union public licen[cs]e(?: version| v)?(?: 1 [12])?", "eupl 1 [12]"),
