@@ -15,13 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_slices, load, materialize, row_key, text_bytes, text_or_empty
+from .common import byte_slices, load, materialize, row_key, sized, text_bytes, text_or_empty
 from .deep_shallow import suffix_order
 from .hashing import mixed, power, range_hashes
 
 LENGTH, GRAM = 100, 24
 #: Bytes of text that one step works on, and anchors that a task combines at a time.
 SLICE_BYTES, COMBINE_ANCHORS = 1 << 22, 1_500_000
+#: Surroundings of one anchor from which on its windows are compared as rows and not in one task.
+MANY = 1000
 _NO_ID = -(1 << 63)
 _MARK = "oid bigint, key bigint, start bigint, end bigint"
 
@@ -168,26 +170,43 @@ def _by_key(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table
 
 
 def _equal_surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, h, oid, key, start, end): kind 1 marks; kind 0 first places of each surroundings where an anchor has
-    several (start is the packed span)."""
-    for table in _by_key(batches, "h"):
-        kind, h, around, oid, key, span = (table.column(i).to_numpy() for i in range(6))
+    """(kind, h, oid, key, start, end): kind 1 marks; kinds 0 and 2 first places of each surroundings where an anchor
+    has several (start is the packed span), 2 from the ``MANY``-th on. Rows are sorted; an anchor's rows pass by
+    without being gathered, with its last row, the number of its surroundings, and a first one that may stay alone."""
+    last, seen, alone = None, 0, None  # (h, around) of the last row; surroundings of that anchor; its only place so far
+    for batch in batches:
+        kind, h, around, oid, key, span = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         mark = kind == 1
         m = [oid[mark], key[mark], span[mark], around[mark]]
         h, around, oid, key, span = (x[~mark] for x in (h, around, oid, key, span))
+        many = np.zeros(0, np.int8)
         if len(h):
-            new_h = np.ones(len(h), bool)
-            new_h[1:] = h[1:] != h[:-1]
-            new_c = new_h.copy()
-            new_c[1:] |= around[1:] != around[:-1]
+            new_h = np.append(last is None or h[0] != last[0], h[1:] != h[:-1])
+            new_c = new_h | np.append(last is None or around[0] != last[1], around[1:] != around[:-1])
             first, count, _ = _unpack(span[~new_c])
-            more = _merged(oid[~new_c], key[~new_c], first, first + count + LENGTH - 1)
-            m = [np.concatenate(x) for x in zip(m, more, strict=True)]
-            classes = np.add.reduceat(new_c.astype(np.int64), np.nonzero(new_h)[0])
-            several = new_c & (classes[np.cumsum(new_h) - 1] > 1)
-            h, oid, key, span = h[several], oid[several], key[several], span[several]
+            m = [np.concatenate(x) for x in zip(m, _merged(oid[~new_c], key[~new_c], first, first + count + LENGTH - 1), strict=True)]
+            # The number of each surroundings within its anchor, going on from the batch before.
+            n = np.cumsum(new_c)
+            group = np.cumsum(new_h) - (1 if new_h[0] else 0)
+            base = n[new_h] - 1 if new_h[0] else np.append(-seen, n[new_h] - 1)
+            n = n - base[group]
+            last, seen = (h[-1], around[-1]), int(n[-1])
+            at = np.nonzero(new_c)[0]
+            place = [x[at] for x in (h, oid, key, span)]
+            number = n[at]
+            if alone is not None and len(at) and place[0][0] == alone[0] and number[0] == 2:
+                place, number = [np.append(a, x) for a, x in zip(alone, place, strict=True)], np.append(1, number)
+            if len(at):
+                single = number == 1
+                followed = np.append(~single[1:], False)  # the next place is of the same anchor
+                alone = [x[-1] for x in place] if single[-1] else None
+                out = ~single | followed
+                h, oid, key, span = (x[out] for x in place)
+                many = np.where(number[out] >= MANY, 2, 0).astype(np.int8)
+            else:
+                h, oid, key, span = (x[:0] for x in (h, oid, key, span))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([np.zeros(len(h), np.int8), np.ones(len(m[0]), np.int8)])), pa.array(np.concatenate([h, m[0]])), *[pa.array(np.concatenate(x)) for x in ((oid, m[0]), (key, m[1]), (span, m[2]), (np.zeros(len(h), np.int64), m[3]))]],
+            [pa.array(np.concatenate([many, np.ones(len(m[0]), np.int8)])), pa.array(np.concatenate([h, m[0]])), *[pa.array(np.concatenate(x)) for x in ((oid, m[0]), (key, m[1]), (span, m[2]), (np.zeros(len(h), np.int64), m[3]))]],
             names=["kind", "h", "oid", "key", "start", "end"],
         )
 
@@ -242,6 +261,21 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in _merged(oid[r], key[r], start, start + LENGTH)], names=["oid", "key", "start", "end"])
 
 
+def _whole_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(w, oid, key, start): a hash of each window of the surroundings."""
+    for batch in batches:
+        oid, key, span = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("oid", "key", "span"))
+        first, count, off = _unpack(span)
+        joined = batch.column("bytes").cast(pa.large_binary())
+        ends = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
+        data = np.frombuffer(joined.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+        row = np.repeat(np.arange(len(span)), count)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        at = (ends[:-1] - ends[0])[row] + step
+        w = mixed(range_hashes(data, at, at + LENGTH) ^ (off[row] - step).astype(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w, oid[row], key[row], first[row] + step)], names=["w", "oid", "key", "start"])
+
+
 def repeated_strings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``oid``, ``key``, ``start``, ``end`` (bytes): ranges, which may overlap, of strings that also start earlier."""
     rows = docs.select(F.coalesce(F.col(id_col), F.lit(_NO_ID)).alias("oid"), _key(docs, id_col, text_col).alias("key"), text_or_empty(docs[text_col]).alias("text"))
@@ -249,9 +283,22 @@ def repeated_strings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     dealt = anchors.repartition("h").sortWithinPartitions("h", "kind", "around", "oid", "key", "span")
     found = materialize(dealt.mapInArrow(_equal_surroundings, "kind tinyint, h bigint, oid bigint, key bigint, start bigint, end bigint"), "equal_surroundings")
     marks = found.where("kind = 1").select("oid", "key", "start", "end")
-    places = found.where("kind = 0").groupBy("oid", "key").agg(F.collect_list(F.struct("h", F.col("start").alias("span"))).alias("places"))
+    places = found.where("kind <> 1").groupBy("oid", "key").agg(F.collect_list(F.struct("h", F.col("start").alias("span"))).alias("places"))
     around = rows.join(places, ["oid", "key"]).mapInArrow(_surroundings, "h bigint, oid bigint, key bigint, span bigint, bytes binary")
-    return marks.unionAll(around.repartition("h").sortWithinPartitions("h").mapInArrow(_compare, _MARK))
+    common = materialize(found.where("kind = 2").select("h").distinct(), "common_anchors")
+    if common.isEmpty():
+        few = around
+    else:
+        # What is around a very common anchor never meets in one task: its windows are rows of their own, combined
+        # before they are shuffled, and joined between two shuffled sides.
+        around = materialize(around, "surroundings")
+        few = around.join(sized(common), "h", "left_anti")
+        windows = materialize(around.join(sized(common), "h", "left_semi").select("oid", "key", "span", "bytes").mapInArrow(_whole_windows, "w bigint, oid bigint, key bigint, start bigint"), "windows")
+        place = F.struct("oid", "key", "start")
+        origin = materialize(windows.groupBy("w").agg(F.min(place).alias("origin"), F.max(place).alias("top")).where("origin <> top").select("w", "origin"), "first_windows")
+        later = windows.join(origin, "w").where(place != F.col("origin")).select("oid", "key", "start", (F.col("start") + LENGTH).alias("end"))
+        marks = marks.unionAll(later)
+    return marks.unionAll(few.select("h", "oid", "key", "span", "bytes").repartition("h").sortWithinPartitions("h").mapInArrow(_compare, _MARK))
 
 
 def _key(docs: DataFrame, id_col: str, text_col: str):

@@ -91,7 +91,11 @@ def test_deep_shallow_order():
     assert [distinct[i] for i in BlindTrie(distinct).ordered()] == sorted(distinct)
 
 
-def test_suffix_dedup(spark, texts):
+@pytest.mark.parametrize("many", [3, 1000])
+def test_suffix_dedup(spark, texts, monkeypatch, many):
+    """Anchors with ``many`` surroundings go by hashes of windows, others by ordering; the results are the same."""
+    monkeypatch.setattr(suffix_dedup, "MANY", many)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50" if many == 3 else "10000")  # anchors go over the ends of batches
     rng = random.Random(4)
     some = [t for _, t in texts[:40]]
     docs = list(texts[:80])
@@ -101,6 +105,7 @@ def test_suffix_dedup(spark, texts):
         docs.append((1000 + n, rng.choice(some)[: rng.randrange(300)] + a[cut : cut + rng.randrange(400)] + rng.choice(["", "ab" * 120, "é" * 90]) + rng.choice(some)[-rng.randrange(1, 200) :]))
     df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(7)
     got = {r[0]: r for r in suffix_dedup.dedup_substrings(df).select("doc_id", "n_bytes", "spans", F.sha2("kept", 256).alias("sha")).collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     want = brute.cut_strings(docs)
     assert {d: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), r.sha) for d, r in got.items()} == want
     assert sum(x[1] for x in want.values()) > 5000
