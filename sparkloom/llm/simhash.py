@@ -122,10 +122,11 @@ def _join_sets(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             label[:] = jumped
 
 
-def _cell_links(cell_cols: int, distance: int):
-    """For rows sorted by cell: the links of homes to all rows of their cell, as one star for each linked set."""
+def _cell_links(distance: int):
+    """For rows (cell, part, part, fp, value, home) sorted in that order: the links of homes to all rows of their cell
+    with a near value, as one star around the least fp of each linked set."""
 
-    def links(fp: np.ndarray, home: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def links(fp: np.ndarray, value: np.ndarray, home: np.ndarray, first: np.ndarray) -> np.ndarray:
         starts = np.nonzero(first)[0]
         size, start = np.diff(np.append(starts, len(fp))), starts
         group = np.cumsum(first) - 1
@@ -139,32 +140,33 @@ def _cell_links(cell_cols: int, distance: int):
             h, n = homes[k:k2], per[k:k2]
             left = np.repeat(h, n)
             right = np.repeat(start[group[h]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            near = np.bitwise_count(fp[left] ^ fp[right]) <= distance
+            near = np.bitwise_count(value[left] ^ value[right]) <= distance
             _join_sets(label, left[near], right[near])
             k = k2
         linked = np.nonzero(label != np.arange(len(fp)))[0]
-        return fp[linked], fp[label[linked]]
+        # A set of near values has the same star in each of its cells, so most links of a batch are alike.
+        return np.unique(np.stack([fp[linked], fp[label[linked]]]), axis=1)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def joined(columns):
-            fp, home, cells = columns[-2].view(np.uint64), columns[-1].astype(bool), columns[:-2]
+            *cells, fp, value, home = columns
             first = np.ones(len(fp), bool)
             first[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cells])
-            return fp, home, first
+            return fp, value.view(np.uint64), home.astype(bool), first
 
-        def out(fp, home, first):
-            a, b = links(fp, home, first)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+        def out(*rows):
+            a, b = links(*rows)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
             new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             held = [np.concatenate(x) for x in zip(held, new, strict=True)] if held else new
-            fp, home, first = joined(held)
-            cut = int(np.nonzero(first)[0][-1]) if len(fp) else 0
+            rows = joined(held)
+            cut = int(np.nonzero(rows[-1])[0][-1]) if len(rows[0]) else 0
             if cut:  # the last cell may go on in the next batch
-                yield out(fp[:cut], home[:cut], first[:cut])
+                yield out(*[x[:cut] for x in rows])
                 held = [c[cut:] for c in held]
         if held and len(held[0]):
             yield out(*joined(held))
@@ -173,31 +175,22 @@ def _cell_links(cell_cols: int, distance: int):
 
 
 def fingerprint_links(prints: DataFrame, distance: int, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``prints`` has distinct ``fp``. Returns links (a, b) that connect the same fingerprints as all pairs within
-    ``distance`` do: in each cell a linked set gives a star and not all of its pairs."""
-    rows = prints.select("fp", F.inline(_replicas(F.col("fp"), distance)))
+    """``prints`` has rows (sketch, value, fp), each sketch and value once. Returns links (a, b) of fps that connect the
+    same ones as all pairs of values of one sketch within ``distance`` do: in each cell a linked set gives a star and
+    not all of its pairs."""
+    of_block = F.transform(_replicas(F.col("value"), distance), lambda x: F.struct((x["cell"] * 16 + F.col("sketch")).alias("cell"), x["home"].alias("home")))
+    rows = prints.select("fp", "value", F.inline(of_block))
     # An anchor with very many fingerprints is dealt out in parts; each two of its parts meet in one cell.
     large = materialize(rows.groupBy("cell").count().where(F.col("count") > cell_rows).select("cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("parts")), "large_cells")
     if large.isEmpty():
-        dealt = rows.select("cell", F.lit(0).alias("p"), F.lit(0).alias("q"), "fp", "home")
+        dealt = rows.select("cell", F.lit(0).alias("p"), F.lit(0).alias("q"), "fp", "value", "home")
     else:
         marked = rows.join(sized(large), "cell", "left")
-        part = F.pmod(F.xxhash64("fp"), F.coalesce("parts", F.lit(1))).cast("int")
+        part = F.pmod(F.xxhash64("value"), F.coalesce("parts", F.lit(1))).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
-        dealt = marked.select("cell", "fp", "home", part.alias("own"), other.alias("other")).select("cell", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "fp", "home")
-    ordered = dealt.repartition("cell", "p", "q").sortWithinPartitions("cell", "p", "q")
-    return ordered.mapInArrow(_cell_links(3, distance), "a bigint, b bigint")
-
-
-def _sketch_links(rows: DataFrame, name: str, distance: int) -> DataFrame:
-    """The links of a further sketch, between first fingerprints: each value of the sketch stands for the least first
-    fingerprint it comes with, and others of that value are linked to it."""
-    met = rows.select(F.col(name).alias("s"), "fp").distinct()
-    stand_in = materialize(met.groupBy("s").agg(F.min("fp").alias("fp"), F.max("fp").alias("top")), "stand_ins")
-    same = met.join(stand_in.where("fp <> top").select("s", F.col("fp").alias("b")), "s").select(F.col("fp").alias("a"), "b")
-    links = fingerprint_links(stand_in.select(F.col("s").alias("fp")), distance)
-    ends = [stand_in.select(F.col("s").alias(x), F.col("fp").alias(f"{x}_fp")) for x in ("a", "b")]
-    return same.unionAll(links.join(ends[0], "a").join(ends[1], "b").select("a_fp", "b_fp"))
+        dealt = marked.select("cell", "fp", "value", "home", part.alias("own"), other.alias("other")).select("cell", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "fp", "value", "home")
+    ordered = dealt.repartition("cell", "p", "q").sortWithinPartitions("cell", "p", "q", "fp")
+    return ordered.mapInArrow(_cell_links(distance), "a bigint, b bigint")
 
 
 def near_duplicate_groups(docs: DataFrame, k: int = 5, distance: int = 6, sketches: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -208,9 +201,14 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, distance: int = 6, sketch
     component. Equal ids and repeated rows each give their row. No rows give no rows."""
     rows = materialize(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, keep=("id",), sketches=sketches), "fingerprints")
     prints = materialize(rows.groupBy("fp").agg(F.min("id").alias("first_id")), "prints")
-    links = fingerprint_links(prints.select("fp"), distance)
-    for n in range(1, sketches):
-        links = links.unionAll(_sketch_links(rows, f"fp{n}", distance))
+    if sketches == 1:
+        links = fingerprint_links(prints.select(F.lit(0).alias("sketch"), F.col("fp").alias("value"), "fp"), distance)
+    else:
+        # A value of a sketch stands for the least first fingerprint it comes with; others that it comes with are linked.
+        each = rows.select("fp", F.posexplode(F.array("fp", *[f"fp{n}" for n in range(1, sketches)])).alias("sketch", "value"))
+        met = materialize(each.groupBy("sketch", "value").agg(F.min("fp").alias("fp"), F.max("fp").alias("top")), "stand_ins")
+        same = each.join(met.where("fp <> top").withColumnRenamed("fp", "b"), ["sketch", "value"]).select(F.col("fp").alias("a"), "b").distinct()
+        links = fingerprint_links(met.select("sketch", "value", "fp"), distance).unionAll(same)
     labels = connected_components(links)
     classed = prints.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
     least = classed.groupBy("label").agg(F.min("first_id").alias("component_id"))

@@ -37,7 +37,7 @@ def test_simhash_sketches_and_split_cells(spark, texts, monkeypatch):
     _, group = brute.near_groups(docs, 5, 6, sketches=3)
     got = by_id(simhash.near_duplicate_groups(df, 5, 6, 3).select("doc_id", "component_id"))
     assert {d: r.component_id for d, r in got.items()} == group
-    prints = simhash.fingerprints(df, 4).select("fp").distinct()
+    prints = simhash.fingerprints(df, 4).select(F.lit(0).alias("sketch"), F.col("fp").alias("value"), "fp").distinct()
     whole = connected_components(simhash.fingerprint_links(prints, 7)).orderBy("node").collect()
     assert connected_components(simhash.fingerprint_links(prints, 7, cell_rows=3)).orderBy("node").collect() == whole != []
 
