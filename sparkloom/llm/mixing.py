@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, materialize, packed, sized, text_or_empty, unpacked
+from .common import load, materialize, packed, text_or_empty, unpacked
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -44,7 +44,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 5) -> di
             now = rows.groupBy(margin).agg(F.sum(weight).alias("now")).where("now > 0")
             share = now.join(target, margin, "left").crossJoin(F.broadcast(total))  # one row, the sum of all tokens
             fitted = share.select(margin, (F.coalesce("share", F.lit(0.0)) * F.col("total") / F.col("now")).alias(f"f_{margin}"))
-            factors[margin] = sized(materialize(fitted, "factors"))
+            factors[margin] = materialize(fitted, "factors")  # small files, which Spark broadcasts by their size
     return factors
 
 
