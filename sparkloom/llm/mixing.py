@@ -22,30 +22,30 @@ def topic_of(text: Column) -> Column:
 def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
     """Target shares of a margin's values: their shares of the tokens to a power, made to add up to one."""
     sums = cells.groupBy(margin).agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
-    raised = materialize(sums.select(margin, F.pow(F.col("tokens").cast("double"), F.lit(power)).alias("share")), "target")
+    raised = sums.select(margin, F.pow(F.col("tokens").cast("double"), F.lit(power)).alias("share"))
     return raised.crossJoin(F.broadcast(raised.agg(F.sum("share").alias("_all")))).select(margin, (F.col("share") / F.col("_all")).alias("share"))  # one row, the sum
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 5) -> dict[str, DataFrame]:
-    """Factors of each margin's values such that ``tokens`` times the factors of a cell has the target shares.
+def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 5) -> DataFrame:
+    """``cells`` with a factor ``f_<margin>`` of each margin's value, such that ``tokens`` times the factors of a cell
+    has the target shares.
 
     ``cells`` has the margins and ``tokens``; each target has the margin and ``share`` (adding up to one). A sweep
     fits each margin once, in the order of ``targets``, so the last one is met exactly. Values with tokens but no
-    target share get factor zero. One grouped sum and a small table is all that a fit moves."""
-    total = cells.agg(F.sum("tokens").cast("double").alias("total"))
-    factors: dict[str, DataFrame] = {}
+    target share get factor zero, values without tokens a null. A fit is one grouped sum, combined before the shuffle
+    and joined back; it ends in files, which Spark broadcasts or shuffles by their size."""
+    state = cells.crossJoin(F.broadcast(cells.agg(F.sum("tokens").cast("double").alias("_total"))))  # one row, the sum of all tokens
+    for margin, target in targets.items():
+        state = state.join(target.withColumnRenamed("share", f"_share_{margin}"), margin, "left")
+    goals = [(F.coalesce(f"_share_{m}", F.lit(0.0)) * F.col("_total")).alias(f"_goal_{m}") for m in targets]
+    state = materialize(state.select(*cells.columns, *goals, *[F.lit(1.0).alias(f"f_{m}") for m in targets]), "cells")
     for _ in range(sweeps):
-        for margin, target in targets.items():
-            rows = cells
-            for other, factor in factors.items():
-                if other != margin:
-                    rows = rows.join(factor, other)
-            weight = reduce(lambda a, b: a * b, [F.col(f"f_{o}") for o in factors if o != margin], F.col("tokens").cast("double"))
-            now = rows.groupBy(margin).agg(F.sum(weight).alias("now")).where("now > 0")
-            share = now.join(target, margin, "left").crossJoin(F.broadcast(total))  # one row, the sum of all tokens
-            fitted = share.select(margin, (F.coalesce("share", F.lit(0.0)) * F.col("total") / F.col("now")).alias(f"f_{margin}"))
-            factors[margin] = materialize(fitted, "factors")  # small files, which Spark broadcasts by their size
-    return factors
+        for margin in targets:
+            weight = reduce(lambda a, b: a * b, [F.col(f"f_{o}") for o in targets if o != margin], F.col("tokens").cast("double"))
+            now = state.groupBy(margin).agg(F.sum(weight).alias("_now")).where("_now > 0")
+            fitted = state.join(now, margin, "left").withColumn(f"f_{margin}", F.col(f"_goal_{margin}") / F.col("_now"))
+            state = materialize(fitted.select(*state.columns), "cells")
+    return state.select(*cells.columns, *[f"f_{m}" for m in targets])
 
 
 def _calibrated(docs: DataFrame, margins: list[str], powers: list[float], sweeps: int, fraction: float, seed: str, id_col: str, text_col: str) -> DataFrame:
@@ -57,17 +57,12 @@ def _calibrated(docs: DataFrame, margins: list[str], powers: list[float], sweeps
         *[(topic if m == "topic" else F.coalesce(F.col(m).cast("string"), F.lit(""))).alias(c) for m, c in value.items()],
     )
     own = list(value.values())
-    cells = materialize(rows.groupBy(*own).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "cells")
-    targets = {c: tempered(cells, c, p) for c, p in zip(own, powers, strict=True)}
-    factors = rake(cells, targets, sweeps)
+    cells = materialize(rows.groupBy(*own).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    raked = rake(cells, {c: tempered(cells, c, p) for c, p in zip(own, powers, strict=True)}, sweeps)
     product = reduce(lambda a, b: a * b, [F.col(f"f_{c}") for c in own])
-    largest = cells
-    for c, factor in factors.items():
-        largest = largest.join(factor, c)
-        rows = rows.join(factor, c, "left")
-    largest = materialize(largest.agg(F.max(product).alias("largest")), "largest")
-    rows = rows.crossJoin(F.broadcast(largest))  # one row
-    weight = F.coalesce(product, F.lit(0.0))
+    largest = raked.where("tokens > 0").agg(F.max(product).alias("largest"))
+    rows = rows.join(raked.select(*own, product.alias("product")), own, "left").crossJoin(F.broadcast(largest))  # one row
+    weight = F.coalesce("product", F.lit(0.0))
     uniform = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("id", F.lit("")))), 1, 13), 16, 10).cast("double") / float(1 << 52)
     probability = F.coalesce(F.round(weight / F.col("largest") * fraction, 6), F.lit(0.0))
     return rows.select("row", "topic", "n_tokens", F.round(weight, 6).alias("weight"), probability.alias("probability"), (uniform < probability).alias("sampled"))
