@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+def toward_least(links: DataFrame) -> DataFrame:
+    """Fewer links (a, b) that connect the same nodes: of the smaller nodes that a node is linked to, the node and the
+    others are linked to the least one.
+
+    It pays where each node has few smaller neighbours, whose number bounds what is gathered for a node, and many nodes
+    share them. Rows with a null end and links of a node to itself are left out; repeated links count once."""
+    below = links.where("a <> b").groupBy(F.greatest("a", "b").alias("node")).agg(F.collect_set(F.least("a", "b")).alias("near"))
+    ends = F.array_union("near", F.array("node"))
+    return below.select(F.explode(ends).alias("a"), F.array_min("near").alias("b")).where("a <> b").distinct()
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """``links`` has columns ``a`` and ``b`` of one ordered type. Returns ``node`` and ``label``, the smallest node
     that can be reached from it, for each node that has a link to another one.

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, let, load, materialize, sized, space_words, text_or_empty
-from .components import connected_components
+from .components import connected_components, toward_least
 from .hashing import mixed
 
 #: Rows of one anchor compared in one task; more are dealt out in parts, and each two parts meet in a task.
@@ -208,7 +208,8 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, distance: int = 6, sketch
         each = rows.select("fp", F.posexplode(F.array("fp", *[f"fp{n}" for n in range(1, sketches)])).alias("sketch", "value"))
         met = materialize(each.groupBy("sketch", "value").agg(F.min("fp").alias("fp"), F.max("fp").alias("top")), "stand_ins")
         same = each.join(met.where("fp <> top").withColumnRenamed("fp", "b"), ["sketch", "value"]).select(F.col("fp").alias("a"), "b").distinct()
-        links = fingerprint_links(met.select("sketch", "value", "fp"), distance).unionAll(same)
+        # A fingerprint has a smaller neighbour for each of its cells at most, and those of a large group share them.
+        links = toward_least(fingerprint_links(met.select("sketch", "value", "fp"), distance)).unionAll(same)
     labels = connected_components(links)
     classed = prints.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
     least = classed.groupBy("label").agg(F.min("first_id").alias("component_id"))

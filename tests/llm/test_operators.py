@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm import decontaminate, exact_dedup, kneser_ney, language_id, licenses, line_dedup, mixing, registry, simhash, suffix_dedup, url_filter
 from sparkloom.llm.common import scratch_path
-from sparkloom.llm.components import connected_components
+from sparkloom.llm.components import connected_components, toward_least
 from sparkloom.llm.deep_shallow import BlindTrie, suffix_order
 
 
@@ -71,6 +71,8 @@ def test_components(spark):
     want = brute.components({x for e in links for x in e}, links)
     got = {r.node: r.label for r in connected_components(spark.createDataFrame([*links, (None, 3)], "a bigint, b bigint")).collect()}
     assert got == {k: v for k, v in want.items() if k in {x for a, b in links if a != b for x in (a, b)}}
+    fewer = toward_least(spark.createDataFrame([*links, (None, 3)], "a bigint, b bigint"))
+    assert {r.node: r.label for r in connected_components(fewer).collect()} == got
 
 
 def test_deep_shallow_order():
