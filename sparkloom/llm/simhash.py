@@ -217,15 +217,6 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, distance: int = 6, sketch
     return rows.select("id", "fp").join(of_print, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, k: int = 5, distance: int = 6, sketches: int = 4) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group, the one with the smallest id.
-
-    Rows with a null id stay; so do repeated rows of the id that stays."""
-    groups = near_duplicate_groups(docs.where("doc_id IS NOT NULL"), k, distance, sketches)
-    dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(sized(materialize(dropped, "dropped")), "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
-
-
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents``: four-word shingles, links at four or fewer differing bits."""
     out = near_duplicate_groups(load(spark, sf_dir, "documents"), k=4, distance=4)
