@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import scratch_path
+
 
 def loose_group_by(df: DataFrame, keys: list[str], *aggregates: Column, keep: list[str] = ()) -> DataFrame:
     """Group with columns that are neither grouped nor aggregated: any one value of each."""
@@ -55,15 +57,23 @@ def eager_load(parents: DataFrame, children: DataFrame, key: str, child_key: str
 
 
 def tree_levels(nodes: DataFrame, id_col: str, parent_col: str) -> DataFrame:
-    """``id``, ``root``, ``depth`` and ``path`` of each node below a root (a node without a parent)."""
+    """``id``, ``root``, ``depth`` and ``path`` of each node below a root (a node without a parent).
+
+    Each level is a join of the one before with the nodes, written to the shared folder, so that neither the depth
+    nor the number of rows has a limit. Nodes on a cycle have no root above them and give no row."""
     spark = nodes.sparkSession
-    nodes.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent")).createOrReplaceTempView("_tree_nodes")
-    return spark.sql("""
-        WITH RECURSIVE walk(id, root, depth, path) AS (
-            SELECT id, id, 0, CAST(id AS STRING) FROM _tree_nodes WHERE parent IS NULL
-            UNION ALL
-            SELECT n.id, w.root, w.depth + 1, concat(w.path, '/', n.id) FROM walk w JOIN _tree_nodes n ON n.parent = w.id
-        ) SELECT * FROM walk""")
+    edges = nodes.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent"))
+    path = scratch_path(spark, "tree_levels")
+    level = edges.where("parent IS NULL").select("id", F.col("id").alias("root"), F.lit(0).alias("depth"), F.col("id").cast("string").alias("path"))
+    schema, depth = level.schema, 0
+    while True:
+        level.write.parquet(f"{path}/level={depth}")
+        above = spark.read.schema(schema).parquet(f"{path}/level={depth}").alias("w")
+        if above.isEmpty():
+            return spark.read.schema(schema).parquet(*[f"{path}/level={n}" for n in range(depth + 1)])
+        below = edges.alias("n").join(above, F.col("n.parent") == F.col("w.id"))
+        level = below.select("n.id", "w.root", (F.col("w.depth") + 1).alias("depth"), F.concat("w.path", F.lit("/"), F.col("n.id").cast("string")).alias("path"))
+        depth += 1
 
 
 def rollup(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:

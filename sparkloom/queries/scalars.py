@@ -110,15 +110,23 @@ def json_keys(spark, sf_dir):
     return _docs(spark, sf_dir).select("o_orderkey", F.concat(F.lit("["), F.concat_ws(", ", json.keys(F.col("doc"))), F.lit("]")).alias("keys"))
 
 
-@query("""SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)::INT AS n, l_partkey AS part, l_quantity AS qty, 1 AS has_qty, 0 AS has_gift, -1 AS gift FROM lineitem WHERE l_orderkey % 10 = 0""")
-def json_table_items(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").where("l_orderkey % 10 = 0")
+def _order_items(li):
     items = F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"), F.col("l_quantity").alias("qty"))))
     docs = li.groupBy("l_orderkey").agg(F.to_json(F.struct(items.alias("items"))).alias("doc"))
     fields = [Field("n", ordinality=True), Field("part", "bigint", "$.part"), Field("qty", "double", "$.qty"), Field("has_qty", path="$.qty", exists=True), Field("has_gift", path="$.gift", exists=True), Field("gift", "int", "$.gift", on_error="default", default=-1)]
     return json_table(docs, "doc", "$.items[*]", fields).drop("doc")
 
 
+@query("""SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)::INT AS n, l_partkey AS part, l_quantity AS qty, 1 AS has_qty, 0 AS has_gift, -1 AS gift FROM lineitem WHERE l_orderkey % 10 = 0""")
+def json_table_items(spark, sf_dir):
+    return _order_items(table(spark, sf_dir, "lineitem").where("l_orderkey % 10 = 0"))
+
+
+@query("""SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity)::INT AS n, l_partkey AS part, l_quantity AS qty, 1 AS has_qty, 0 AS has_gift, -1 AS gift FROM lineitem""")
+def json_table_items_whole(spark, sf_dir):
+    return _order_items(table(spark, sf_dir, "lineitem"))
+
+
 @query("""SELECT r_name, n_name, row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey)::INT AS n FROM region JOIN nation ON n_regionkey = r_regionkey""")
 def json_table_nested(spark, sf_dir):
     n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
