@@ -31,10 +31,12 @@ BASE = [
 
 #: label: (keyword, the license's names, its identifier), each as words.
 LICENSES = {
-    "mit": ("mit licen", "(?:mit x11|x11 mit|mit) licen[cs]e", "mit"),
+    "mit": ("mit licen", "(?:x11 )?mit licen[cs]e", "mit"),
+    "mit-x11": ("mit x11", "mit x11 licen[cs]e", "mit"),
     "mit-0": ("no attribution", "mit no attribution(?: licen[cs]e)?", "mit 0"),
     "apache-1": ("apache", "apache (?:software )?licen[cs]e (?:version |v )?1(?: [01])?", "apache 1 [01]"),
-    "apache-2": ("apache", "(?:apache (?:software )?licen[cs]e(?: version| v)? ?2(?: 0)?|apache 2(?: 0)?(?: licen[cs]e)?|asl 2 0)", "apache 2 0"),
+    "apache-2": ("apache", "(?:apache (?:software )?licen[cs]e(?: version| v)? ?2(?: 0)?|apache 2(?: 0)?(?: licen[cs]e)?)", "apache 2 0"),
+    "apache-2-short": ("asl 2 0", "asl 2 0", "apache 2 0"),
     "bsd": ("bsd", "(?:new |revised |original |simplified )?bsd(?: style)? licen[cs]e", "bsd"),
     "bsd-2": ("bsd", "(?:2 clause bsd|bsd 2 clause|simplified bsd|freebsd)(?: licen[cs]e)?", "bsd 2 clause"),
     "bsd-3": ("bsd", "(?:3 clause bsd|bsd 3 clause|new bsd|modified bsd|revised bsd)(?: licen[cs]e)?", "bsd 3 clause"),
@@ -101,26 +103,58 @@ LICENSES = {
     "cc-by-nc-sa": ("cc by", "(?:creative commons )?cc by nc sa(?: [1234] 0)?", "cc by nc sa [1234] 0"),
     "cc-by-nc-nd": ("cc by", "(?:creative commons )?cc by nc nd(?: [1234] 0)?", "cc by nc nd [1234] 0"),
     "cc-attribution": ("creative commons", "creative commons attribution(?: [1234] 0)?(?: (?:international|unported|generic))?", "cc attribution"),
-    "cc-attribution-sa": ("share alike", "creative commons attribution share ?alike(?: [1234] 0)?(?: (?:international|unported|generic))?", "cc attribution sa"),
-    "cc-attribution-nc": ("noncommercial", "creative commons attribution non ?commercial(?: [1234] 0)?(?: (?:international|unported|generic))?", "cc attribution nc"),
+    "cc-attribution-sa": ("creative commons attribution", "creative commons attribution share ?alike(?: [1234] 0)?(?: (?:international|unported|generic))?", "cc attribution sa"),
+    "cc-attribution-nc": ("creative commons attribution", "creative commons attribution non ?commercial(?: [1234] 0)?(?: (?:international|unported|generic))?", "cc attribution nc"),
     "public-domain": ("public domain", "(?:dedicated to|placed in|in|into) the public domain", "public domain"),
     "proprietary": ("all rights", "all rights reserved", "licenseref proprietary"),
 }
 
 
+#: (label, keyword, words of the license's own text or of the notice it asks for).
+TEXTS = [
+    ("mit", "hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("bsl-1", "hereby granted free of charge", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("isc", "with or without fee", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("postgresql", "without a written agreement", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("bsd", "redistribution and use in source", "redistribution and use in source and binary forms(?: with or without modification)?(?: are permitted)?"),
+    ("bsd-3", "neither the name of", "neither the name of (?:\\S+ ){1,12}nor the names of (?:its|their|any) contributors may be used to endorse or promote products"),
+    ("bsd-4", "all advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledg(?:e)?ment"),
+    ("apache-2", "except in compliance with the license", "you may not use this (?:file|work|software) except in compliance with the license"),
+    ("gpl", "this program is free software", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e"),
+    ("agpl", "this program is free software", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public licen[cs]e"),
+    ("lgpl", "this library is free software", "this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[cs]e"),
+    ("fdl", "to copy distribute and or modify this document", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[cs]e"),
+    ("mpl-2", "this source code form is subject", "this source code form is subject to the terms of the mozilla public licen[cs]e v 2 0"),
+    ("mpl-1.1", "subject to the mozilla public", "the contents of this file are subject to the mozilla public licen[cs]e version 1 1"),
+    ("cddl", "the contents of this file are subject", "the contents of this file are subject to the terms of the common development and distribution licen[cs]e"),
+    ("epl-1", "accompanying materials are made available", "this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e v1 0"),
+    ("epl-2", "accompanying materials are made available", "this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e (?:v )?2 0"),
+    ("zlib", "in no event will the authors be held liable", "in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("unlicense", "free and unencumbered software", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "you just do what the", "you just do what the \\S+ you want to"),
+    ("cc0", "dedicated the work to the public domain", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("ofl", "this font software is licensed", "this font software is licensed under the sil open font licen[cs]e"),
+    ("openssl", "developed by the openssl project", "this product includes software developed by the openssl project"),
+    ("upl", "subject to the condition set forth below", "subject to the condition set forth below permission is hereby granted to any person obtaining a copy"),
+    ("python", "psf hereby grants", "psf hereby grants licensee a nonexclusive royalty free world wide licen[cs]e"),
+    ("proprietary", "strictly prohibited", "unauthori[sz]ed (?:copying|use|reproduction|distribution) of this (?:file|software|work|document)(?: via any medium)? is strictly prohibited"),
+]
+
+
 def build_rules() -> list[Rule]:
-    """Four rules for each license, weakest first: its name, its name after a grant, with its terms, its identifier."""
+    """Four rules for each license, weakest first: its name, its name after a grant, with its terms, its identifier; then
+    words of license texts. A rule's keyword is in every text that its pattern matches."""
     grant = "(?:licen[cs]ed|released|distributed|available|published|provided|offered|issued|shared|covered)"
     rules = []
     for label, (keyword, names, spdx) in LICENSES.items():
-        label = {"gpl-2-short": "gpl-2", "gpl-3-short": "gpl-3", "cc-zero": "cc0", "cc-attribution": "cc-by", "cc-attribution-sa": "cc-by-sa", "cc-attribution-nc": "cc-by-nc"}.get(label, label)
+        label = {"mit-x11": "mit", "apache-2-short": "apache-2", "gpl-2-short": "gpl-2", "gpl-3-short": "gpl-3", "cc-zero": "cc0", "cc-attribution": "cc-by", "cc-attribution-sa": "cc-by-sa", "cc-attribution-nc": "cc-by-nc"}.get(label, label)
         rules += [
             Rule(label, keyword, names, 1, 0.6),
             Rule(label, keyword, f"{grant} (?:by |to you )?(?:under|with) (?:the |an? )?{names}", 3, 0.95),
             Rule(label, keyword, f"(?:terms|conditions|provisions) (?:and conditions )?of the {names}", 2, 0.85),
             Rule(label, "spdx", f"spdx licen[cs]e identifier {spdx}", 4, 1.0),
         ]
-    return rules
+    return rules + [Rule(label, keyword, words, 3, 0.95) for label, keyword, words in TEXTS]
 
 
 RULES = build_rules()
@@ -153,7 +187,8 @@ def _places(text: Column, rule: Column) -> Column:
 
         return F.aggregate(F.arrays_zip(gaps.alias("gap"), found.alias("match")), none, step, lambda a: a["out"])
 
-    return let(F.regexp_extract_all(text, rule["pattern"], F.lit(0)), of)
+    # Without a match the text isn't split.
+    return let(F.regexp_extract_all(text, rule["pattern"], F.lit(0)), lambda found: F.when(F.size(found) > 0, of(found)).otherwise(F.array().cast(_DETECTION)))
 
 
 def _detections(text: Column, rules: list[Rule], first: int = 0) -> Column:
