@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,11 +15,17 @@ from .relational import top_k
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, distance: Callable[[Column, Column], Column] = vector.euclidean, id_col: str = "vec_id", vec_col: str = "embedding", limit: int = 10_000) -> DataFrame:
     """(query_id, id, distance) of the ``k`` nearest vectors of each query, ties by id.
 
-    The stated queries meet all vectors. They must be at most ``limit``, and are broadcast; vectors are never
-    shuffled, and each partition passes on ``k`` rows of a query at most."""
+    The stated queries meet all vectors, in blocks of about ``limit`` queries by a hash of their ids; each block is
+    broadcast. Vectors are never shuffled, and each partition passes on ``k`` rows of a query at most."""
     q = queries.select(F.col(id_col).alias("query_id"), F.col(vec_col).alias("_q"))
-    if q.limit(limit + 1).count() > limit:
-        raise ValueError(f"more than {limit} queries; search them in blocks")
-    pairs = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("_v")).crossJoin(F.broadcast(q))
-    scored = pairs.select("query_id", "id", F.round(distance(F.col("_v"), F.col("_q")), 6).alias("distance"))
-    return top_k(scored, k, [F.col("distance"), F.col("id")], ["query_id"])
+    v = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("_v"))
+    blocks = max(1, -(-q.count() // limit))
+
+    def found(block: DataFrame) -> DataFrame:
+        scored = v.crossJoin(F.broadcast(block)).select("query_id", "id", F.round(distance(F.col("_v"), F.col("_q")), 6).alias("distance"))
+        return top_k(scored, k, [F.col("distance"), F.col("id")], ["query_id"])
+
+    if blocks == 1:
+        return found(q)
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    return reduce(DataFrame.unionAll, [found(q.where(block == n)) for n in range(blocks)])
