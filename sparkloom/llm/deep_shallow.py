@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Eight-byte keys that are sorted before strings with a longer common prefix go to a blind trie.
-SHALLOW_KEYS = 5
+SHALLOW_KEYS = 2
 
 
 class BlindTrie:

@@ -24,13 +24,21 @@ def _powers(n: int, base: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of each range of bytes that depends on its bytes and length, not on its place.
+class RangeHashes:
+    """A hash of each range of ``data`` that depends on its bytes and length, not on its place.
 
     Sums of byte values times rising powers give any range by a difference; the inverse power of its start takes the
     place out."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    values = mixed(np.arange(7, 263, dtype=np.uint64))
-    np.cumsum(values[data] * _powers(len(data) + 1, _BASE)[:-1], out=sums[1:])
-    inverse = _powers(len(data) + 1, pow(_BASE, -1, 1 << 64))
-    return mixed((sums[end] - sums[start]) * inverse[start] ^ ((end - start).astype(np.uint64) << np.uint64(20)))
+
+    def __init__(self, data: np.ndarray):
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        values = mixed(np.arange(7, 263, dtype=np.uint64))
+        np.cumsum(values[data] * _powers(len(data) + 1, _BASE)[:-1], out=self.sums[1:])
+        self.inverse = _powers(len(data) + 1, pow(_BASE, -1, 1 << 64))
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[end] - self.sums[start]) * self.inverse[start] ^ ((end - start).astype(np.uint64) << np.uint64(20)))
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return RangeHashes(data)(start, end)

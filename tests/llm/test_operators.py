@@ -93,11 +93,10 @@ def test_deep_shallow_order():
     assert [distinct[i] for i in BlindTrie(distinct).ordered()] == sorted(distinct)
 
 
-@pytest.mark.parametrize("many", [3, 1000])
-def test_suffix_dedup(spark, texts, monkeypatch, many):
-    """Anchors with ``many`` surroundings go by hashes of windows, others by ordering; the results are the same."""
-    monkeypatch.setattr(suffix_dedup, "MANY", many)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50" if many == 3 else "10000")  # anchors go over the ends of batches
+@pytest.mark.parametrize("part", [3, 200_000])
+def test_suffix_dedup(spark, texts, part):
+    """Cores with more than ``part`` pieces are ordered in parts; the results are the same."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50" if part == 3 else "10000")  # cores go over the ends of batches
     rng = random.Random(4)
     some = [t for _, t in texts[:40]]
     docs = list(texts[:80])
@@ -106,13 +105,30 @@ def test_suffix_dedup(spark, texts, monkeypatch, many):
         cut = rng.randrange(len(a) + 1)
         docs.append((1000 + n, rng.choice(some)[: rng.randrange(300)] + a[cut : cut + rng.randrange(400)] + rng.choice(["", "ab" * 120, "é" * 90]) + rng.choice(some)[-rng.randrange(1, 200) :]))
     df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(7)
-    got = {r[0]: r for r in suffix_dedup.dedup_substrings(df).select("doc_id", "n_bytes", "spans", F.sha2("kept", 256).alias("sha")).collect()}
+    got = {r[0]: r for r in suffix_dedup.dedup_substrings(df, part_pieces=part).select("doc_id", "n_bytes", "spans", F.sha2("kept", 256).alias("sha")).collect()}
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     want = brute.cut_strings(docs)
     assert {d: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), r.sha) for d, r in got.items()} == want
     assert sum(x[1] for x in want.values()) > 5000
 
 
+def test_suffix_dedup_query(spark, sf, texts):
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.op5_suffix_dedup(spark, sf).collect()}
+    assert got == brute.cut_strings(texts)
+
+
+def test_suffix_dedup_of_common_passage(spark):
+    """One passage with other words around it in each text, cut at any place, in parts of a core and whole."""
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(260))
+    word = lambda n: "".join(rng.choice("ijklmnop") for _ in range(n))
+    docs = [(n, word(rng.randrange(90)) + passage[rng.randrange(3) * 20 : 260 - rng.randrange(100)] + word(rng.randrange(90))) for n in range(150)]
+    want, df = brute.cut_strings(docs), spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    for part in (7, 200_000):
+        got = suffix_dedup.dedup_substrings(df, part_pieces=part).select("doc_id", "n_bytes", "spans", F.sha2("kept", 256).alias("sha")).collect()
+        assert {r[0]: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), r.sha) for r in got} == want
+
+
 def test_suffix_dedup_of_long_text(spark, monkeypatch):
     rng = random.Random(6)
     long = "".join(rng.choice("abcdefgh ") for _ in range(17_000_000))
