@@ -6,166 +6,24 @@ the word interval of a stronger one (higher priority, then longer, then earlier
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import let, load, normal_words, text_or_empty
+from .license_rules import BASE, RULES, STEMS, Rule
 
-
-class Rule(NamedTuple):
-    label: str
-    keyword: str
-    pattern: str
-    priority: int
-    weight: float
-
-
-#: The base phrases, whose labels are never suppressed.
-BASE = [
-    Rule("mit", "under the mit license", "under the mit license", 9, 0.95),
-    Rule("apache-2", "apache license version 2", "apache license version 2", 9, 0.95),
-    Rule("cc-by-nc", "cc by nc", "cc by nc", 9, 0.9),
-]
-
-#: label: (keyword, the license's names, its identifier), each as words.
-LICENSES = {
-    "mit": ("mit licen", "(?:x11 )?mit licen[cs]e", "mit"),
-    "mit-x11": ("mit x11", "mit x11 licen[cs]e", "mit"),
-    "mit-0": ("no attribution", "mit no attribution(?: licen[cs]e)?", "mit 0"),
-    "apache-1": ("apache", "apache (?:software )?licen[cs]e (?:version |v )?1(?: [01])?", "apache 1 [01]"),
-    "apache-2": ("apache", "(?:apache (?:software )?licen[cs]e(?: version| v)? ?2(?: 0)?|apache 2(?: 0)?(?: licen[cs]e)?)", "apache 2 0"),
-    "apache-2-short": ("asl 2 0", "asl 2 0", "apache 2 0"),
-    "bsd": ("bsd", "(?:new |revised |original |simplified )?bsd(?: style)? licen[cs]e", "bsd"),
-    "bsd-2": ("bsd", "(?:2 clause bsd|bsd 2 clause|simplified bsd|freebsd)(?: licen[cs]e)?", "bsd 2 clause"),
-    "bsd-3": ("bsd", "(?:3 clause bsd|bsd 3 clause|new bsd|modified bsd|revised bsd)(?: licen[cs]e)?", "bsd 3 clause"),
-    "bsd-4": ("bsd", "(?:4 clause bsd|bsd 4 clause|original bsd)(?: licen[cs]e)?", "bsd 4 clause"),
-    "0bsd": ("bsd", "(?:zero clause bsd|bsd zero clause|0bsd)(?: licen[cs]e)?", "0bsd"),
-    "isc": ("isc ", "isc licen[cs]e", "isc"),
-    "gpl": ("general public", "(?:gnu )?general public licen[cs]e", "gpl"),
-    "gpl-1": ("general public", "(?:gnu )?general public licen[cs]e(?: as published)?(?: version| v)? ?1(?: 0)?", "gpl 1 0(?: only| or later)?"),
-    "gpl-2": ("general public", "(?:gnu )?general public licen[cs]e(?: as published)?(?: version| v)? ?2(?: 0)?", "gpl 2 0(?: only| or later)?"),
-    "gpl-3": ("general public", "(?:gnu )?general public licen[cs]e(?: as published)?(?: version| v)? ?3(?: 0)?", "gpl 3 0(?: only| or later)?"),
-    "gpl-2-short": ("gpl", "(?:gnu )?gpl ?(?:version |v )?v?2(?: 0)?", "gplv2"),
-    "gpl-3-short": ("gpl", "(?:gnu )?gpl ?(?:version |v )?v?3(?: 0)?", "gplv3"),
-    "lgpl": ("lesser general", "(?:gnu )?lesser general public licen[cs]e", "lgpl"),
-    "lgpl-2": ("library general", "(?:gnu )?library general public licen[cs]e(?: version| v)? ?2(?: 0)?", "lgpl 2 0(?: only| or later)?"),
-    "lgpl-2.1": ("lesser general", "(?:gnu )?lesser general public licen[cs]e(?: version| v)? ?2 1", "lgpl 2 1(?: only| or later)?"),
-    "lgpl-3": ("lesser general", "(?:gnu )?lesser general public licen[cs]e(?: version| v)? ?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
-    "agpl": ("affero", "(?:gnu )?affero general public licen[cs]e", "agpl"),
-    "agpl-3": ("affero", "(?:gnu )?affero general public licen[cs]e(?: version| v)? ?3(?: 0)?", "agpl 3 0(?: only| or later)?"),
-    "fdl": ("documentation", "(?:gnu )?free documentation licen[cs]e", "gfdl"),
-    "fdl-1.3": ("documentation", "(?:gnu )?free documentation licen[cs]e(?: version| v)? ?1 [123]", "gfdl 1 [123](?: only| or later)?"),
-    "mpl": ("mozilla", "mozilla public licen[cs]e", "mpl"),
-    "mpl-1.1": ("mozilla", "mozilla public licen[cs]e(?: version| v)? ?1 [01]", "mpl 1 [01]"),
-    "mpl-2": ("mozilla", "mozilla public licen[cs]e(?: version| v)? ?2(?: 0)?", "mpl 2 0"),
-    "epl-1": ("eclipse", "eclipse public licen[cs]e(?: version| v)? ?1(?: 0)?", "epl 1 0"),
-    "epl-2": ("eclipse", "eclipse public licen[cs]e(?: version| v)? ?2(?: 0)?", "epl 2 0"),
-    "cddl": ("common development", "common development and distribution licen[cs]e(?: version)?(?: 1 [01])?", "cddl 1 [01]"),
-    "cpl": ("common public", "common public licen[cs]e(?: version)?(?: 1 0)?", "cpl 1 0"),
-    "eupl": ("european union", "european union public licen[cs]e(?: version| v)?(?: 1 [12])?", "eupl 1 [12]"),
-    "artistic-1": ("artistic", "artistic licen[cs]e(?: version)? 1 0", "artistic 1 0"),
-    "artistic-2": ("artistic", "artistic licen[cs]e(?: version)? 2 0", "artistic 2 0"),
-    "bsl-1": ("boost software", "boost software licen[cs]e(?: version)?(?: 1 0)?", "bsl 1 0"),
-    "busl": ("business source", "business source licen[cs]e(?: version)?(?: 1 1)?", "busl 1 1"),
-    "sspl": ("server side", "server side public licen[cs]e(?: version)?(?: 1)?", "sspl 1 0"),
-    "elastic-2": ("elastic", "elastic licen[cs]e(?: version)? 2(?: 0)?", "elastic 2 0"),
-    "zlib": ("zlib", "zlib(?: libpng)? licen[cs]e", "zlib"),
-    "libpng": ("libpng", "libpng licen[cs]e(?: version)?(?: 2(?: 0)?)?", "libpng 2 0"),
-    "openssl": ("openssl", "openssl licen[cs]e", "openssl"),
-    "curl": ("curl", "curl licen[cs]e", "curl"),
-    "python": ("python", "python (?:software foundation )?licen[cs]e(?: version)?(?: 2)?", "(?:psf|python) 2 0"),
-    "php": ("php", "php licen[cs]e(?: version)?(?: 3 0(?: 1)?)?", "php 3 01?"),
-    "ruby": ("ruby", "ruby licen[cs]e", "ruby"),
-    "postgresql": ("postgresql", "postgresql licen[cs]e", "postgresql"),
-    "unlicense": ("unlicen", "the unlicen[cs]e", "unlicense"),
-    "wtfpl": ("what the", "do what the \\S+ you want to public licen[cs]e", "wtfpl"),
-    "ofl": ("open font", "(?:sil )?open font licen[cs]e(?: version)?(?: 1 [01])?", "ofl 1 [01]"),
-    "w3c": ("w3c", "w3c (?:software )?(?:notice and )?licen[cs]e", "w3c"),
-    "ms-pl": ("microsoft", "microsoft public licen[cs]e", "ms pl"),
-    "ms-rl": ("microsoft", "microsoft reciprocal licen[cs]e", "ms rl"),
-    "ncsa": ("illinois", "university of illinois(?: ncsa)? open source licen[cs]e", "ncsa"),
-    "afl-3": ("academic free", "academic free licen[cs]e(?: version| v)?(?: 3 0)?", "afl 3 0"),
-    "osl-3": ("open software", "open software licen[cs]e(?: version| v)?(?: 3 0)?", "osl 3 0"),
-    "upl": ("universal permissive", "universal permissive licen[cs]e(?: version| v)?(?: 1 0)?", "upl 1 0"),
-    "mulan-2": ("mulan", "mulan psl(?: v2| 2)?", "mulanpsl 2 0"),
-    "odbl": ("database", "open (?:data commons )?(?:open )?database licen[cs]e(?: version| v)?(?: 1 0)?", "odbl 1 0"),
-    "odc-by": ("data commons", "open data commons attribution licen[cs]e(?: version| v)?(?: 1 0)?", "odc by 1 0"),
-    "pddl": ("public domain dedication", "public domain dedication and licen[cs]e(?: version| v)?(?: 1 0)?", "pddl 1 0"),
-    "ogl-uk": ("open government", "open government licen[cs]e(?: version| v)?(?: [123] 0)?", "ogl uk [123] 0"),
-    "cc0": ("cc0", "(?:creative commons )?cc0(?: 1 0)?(?: universal)?", "cc0 1 0"),
-    "cc-zero": ("creative commons", "creative commons zero(?: v?1 0)?(?: universal)?", "cc zero"),
-    "cc-by": ("cc by", "(?:creative commons )?cc by(?: [1234] 0)?", "cc by [1234] 0"),
-    "cc-by-sa": ("cc by", "(?:creative commons )?cc by sa(?: [1234] 0)?", "cc by sa [1234] 0"),
-    "cc-by-nc": ("cc by", "(?:creative commons )?cc by nc(?: [1234] 0)?", "cc by nc [1234] 0"),
-    "cc-by-nd": ("cc by", "(?:creative commons )?cc by nd(?: [1234] 0)?", "cc by nd [1234] 0"),
-    "cc-by-nc-sa": ("cc by", "(?:creative commons )?cc by nc sa(?: [1234] 0)?", "cc by nc sa [1234] 0"),
-    "cc-by-nc-nd": ("cc by", "(?:creative commons )?cc by nc nd(?: [1234] 0)?", "cc by nc nd [1234] 0"),
-    "cc-attribution": ("creative commons", "creative commons attribution(?: [1234] 0)?(?: (?:international|unported|generic))?", "cc attribution"),
-    "cc-attribution-sa": ("creative commons attribution", "creative commons attribution share ?alike(?: [1234] 0)?(?: (?:international|unported|generic))?", "cc attribution sa"),
-    "cc-attribution-nc": ("creative commons attribution", "creative commons attribution non ?commercial(?: [1234] 0)?(?: (?:international|unported|generic))?", "cc attribution nc"),
-    "public-domain": ("public domain", "(?:dedicated to|placed in|in|into) the public domain", "public domain"),
-    "proprietary": ("all rights", "all rights reserved", "licenseref proprietary"),
-}
-
-
-#: (label, keyword, words of the license's own text or of the notice it asks for).
-TEXTS = [
-    ("mit", "hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("bsl-1", "hereby granted free of charge", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
-    ("isc", "with or without fee", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("postgresql", "without a written agreement", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
-    ("bsd", "redistribution and use in source", "redistribution and use in source and binary forms(?: with or without modification)?(?: are permitted)?"),
-    ("bsd-3", "neither the name of", "neither the name of (?:\\S+ ){1,12}nor the names of (?:its|their|any) contributors may be used to endorse or promote products"),
-    ("bsd-4", "all advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledg(?:e)?ment"),
-    ("apache-2", "except in compliance with the license", "you may not use this (?:file|work|software) except in compliance with the license"),
-    ("gpl", "this program is free software", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e"),
-    ("agpl", "this program is free software", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public licen[cs]e"),
-    ("lgpl", "this library is free software", "this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[cs]e"),
-    ("fdl", "to copy distribute and or modify this document", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[cs]e"),
-    ("mpl-2", "this source code form is subject", "this source code form is subject to the terms of the mozilla public licen[cs]e v 2 0"),
-    ("mpl-1.1", "subject to the mozilla public", "the contents of this file are subject to the mozilla public licen[cs]e version 1 1"),
-    ("cddl", "the contents of this file are subject", "the contents of this file are subject to the terms of the common development and distribution licen[cs]e"),
-    ("epl-1", "accompanying materials are made available", "this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e v1 0"),
-    ("epl-2", "accompanying materials are made available", "this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e (?:v )?2 0"),
-    ("zlib", "in no event will the authors be held liable", "in no event will the authors be held liable for any damages arising from the use of this software"),
-    ("unlicense", "free and unencumbered software", "this is free and unencumbered software released into the public domain"),
-    ("wtfpl", "you just do what the", "you just do what the \\S+ you want to"),
-    ("cc0", "dedicated the work to the public domain", "the person who associated a work with this deed has dedicated the work to the public domain"),
-    ("ofl", "this font software is licensed", "this font software is licensed under the sil open font licen[cs]e"),
-    ("openssl", "developed by the openssl project", "this product includes software developed by the openssl project"),
-    ("upl", "subject to the condition set forth below", "subject to the condition set forth below permission is hereby granted to any person obtaining a copy"),
-    ("python", "psf hereby grants", "psf hereby grants licensee a nonexclusive royalty free world wide licen[cs]e"),
-    ("proprietary", "strictly prohibited", "unauthori[sz]ed (?:copying|use|reproduction|distribution) of this (?:file|software|work|document)(?: via any medium)? is strictly prohibited"),
-]
-
-
-def build_rules() -> list[Rule]:
-    """Four rules for each license, weakest first: its name, its name after a grant, with its terms, its identifier; then
-    words of license texts. A rule's keyword is in every text that its pattern matches."""
-    grant = "(?:licen[cs]ed|released|distributed|available|published|provided|offered|issued|shared|covered)"
-    rules = []
-    for label, (keyword, names, spdx) in LICENSES.items():
-        label = {"mit-x11": "mit", "apache-2-short": "apache-2", "gpl-2-short": "gpl-2", "gpl-3-short": "gpl-3", "cc-zero": "cc0", "cc-attribution": "cc-by", "cc-attribution-sa": "cc-by-sa", "cc-attribution-nc": "cc-by-nc"}.get(label, label)
-        rules += [
-            Rule(label, keyword, names, 1, 0.6),
-            Rule(label, keyword, f"{grant} (?:by |to you )?(?:under|with) (?:the |an? )?{names}", 3, 0.95),
-            Rule(label, keyword, f"(?:terms|conditions|provisions) (?:and conditions )?of the {names}", 2, 0.85),
-            Rule(label, "spdx", f"spdx licen[cs]e identifier {spdx}", 4, 1.0),
-        ]
-    return rules + [Rule(label, keyword, words, 3, 0.95) for label, keyword, words in TEXTS]
-
-
-RULES = build_rules()
 _DETECTION = "array<struct<start:bigint,end:bigint,label:string,priority:int,weight:double,rule:int>>"
 
 
-def _literal(rules: list[Rule], first: int) -> Column:
-    return F.array(*[
-        F.struct(F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(f"(?<= ){r.pattern}(?= )").alias("pattern"), F.lit(r.priority).alias("priority"), F.lit(r.weight).alias("weight"), F.lit(first + i).alias("rule"))
-        for i, r in enumerate(rules)
-    ])
+def _by_keyword(rules: list[Rule]) -> Column:
+    """Array of (keyword, rules): each keyword once, with its rules and their numbers."""
+    keywords: dict[str, list[Column]] = {}
+    for number, r in enumerate(rules):
+        rule = {"label": r.label, "pattern": f"(?<= )(?:{r.pattern})(?= )", "priority": r.priority, "weight": r.weight, "rule": number}
+        keywords.setdefault(r.keyword, []).append(F.struct(*[F.lit(x).alias(n) for n, x in rule.items()]))
+    return F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*of).alias("rules")) for k, of in keywords.items()])
 
 
 def _spaces(text: Column) -> Column:
@@ -191,38 +49,55 @@ def _places(text: Column, rule: Column) -> Column:
     return let(F.regexp_extract_all(text, rule["pattern"], F.lit(0)), lambda found: F.when(F.size(found) > 0, of(found)).otherwise(F.array().cast(_DETECTION)))
 
 
-def _detections(text: Column, rules: list[Rule], first: int = 0) -> Column:
-    present = F.filter(_literal(rules, first), lambda r: F.contains(text, r["keyword"]))
-    return F.flatten(F.transform(present, lambda r: _places(text, r))).cast(_DETECTION)
+def _detections(text: Column, rules: list[Rule]) -> Column:
+    present = F.filter(_by_keyword(rules), lambda k: F.contains(text, k["keyword"]))
+    return F.flatten(F.transform(F.flatten(F.transform(present, lambda k: k["rules"])), lambda r: _places(text, r))).cast(_DETECTION)
 
 
 def _strongest(found: Column) -> Column:
-    """Detections that aren't contained in the interval of a stronger one."""
+    """Detections that aren't contained in the interval of a stronger one.
+
+    Sorted detections are cut into stretches that don't overlap, so that each is compared with its neighbours only."""
 
     def beats(e: Column, d: Column) -> Column:
         size_e, size_d = e["end"] - e["start"], d["end"] - d["start"]
         rank_e, rank_d = F.struct(e["priority"], size_e, -e["rule"], -e["start"]), F.struct(d["priority"], size_d, -d["rule"], -d["start"])
         return (e["start"] <= d["start"]) & (e["end"] >= d["end"]) & (rank_e > rank_d)
 
-    return F.filter(found, lambda d: ~F.exists(found, lambda e: beats(e, d)))
+    none = F.array().cast(_DETECTION)
+    empty = F.struct(F.lit(0).cast("bigint").alias("upto"), none.alias("now"), F.array().cast(f"array<{_DETECTION}>").alias("done"))
+
+    def step(a: Column, d: Column) -> Column:
+        joins, one = d["start"] < a["upto"], F.array(d)
+        return F.struct(
+            F.greatest(a["upto"], d["end"]).alias("upto"),
+            F.when(joins, F.concat(a["now"], one)).otherwise(one).alias("now"),
+            F.when(joins, a["done"]).otherwise(F.concat(a["done"], F.array(a["now"]))).alias("done"),
+        )
+
+    stretches = F.aggregate(F.array_sort(found), empty, step, lambda a: F.concat(a["done"], F.array(a["now"])))
+    return F.flatten(F.transform(stretches, lambda s: F.filter(s, lambda d: ~F.exists(s, lambda e: beats(e, d)))))
 
 
 def scan(docs: DataFrame, text_col: str = "text", rules: list[Rule] | None = None) -> DataFrame:
     """``docs`` (any columns) with ``license_scan``: ``n_words``, ``base`` (all places of the base phrases) and
-    ``found`` (detections that no stronger one contains), both arrays of (start, end, label, priority, weight, rule).
+    ``found`` (detections that no stronger one contains), both arrays of (start, end, label, priority, weight, rule);
+    numbers of rules count the base phrases first.
 
-    Everything is computed within the row. Null and wordless texts have no words and no detections."""
-    rules = RULES if rules is None else rules
-    keywords = "|".join(sorted({r.keyword for r in [*rules, *BASE]}))
+    Everything is computed within the row, over the whole text however long. Null and wordless texts have no words and no
+    detections. Repeated rows each give their row, and no rows give none. A column named license_scan is replaced; no
+    other name clashes. With ``rules`` of one's own, only texts with one of their keywords are looked at."""
+    stems = STEMS if rules is None else sorted({r.keyword for r in [*BASE, *rules]})
+    every = [*BASE, *(RULES if rules is None else rules)]
 
     def of(text: Column) -> Column:
-        gate, none = F.rlike(text, F.lit(keywords)), F.array().cast(_DETECTION)
-        both = lambda base: F.struct(
+        gate, none = reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in stems]), F.array().cast(_DETECTION)
+        both = lambda found: F.struct(
             (_spaces(text) - 1).alias("n_words"),
-            base.alias("base"),
-            F.when(gate, let(F.concat(base, _detections(text, rules, len(BASE))), _strongest)).otherwise(none).alias("found"),
+            F.filter(found, lambda d: d["rule"] < len(BASE)).alias("base"),
+            F.when(F.size(found) > 0, _strongest(found)).otherwise(none).alias("found"),
         )
-        return let(F.when(gate, _detections(text, BASE)).otherwise(none), both)
+        return let(F.when(gate, _detections(text, every)).otherwise(none), both)
 
     return docs.withColumn("license_scan", let(normal_words(text_or_empty(docs[text_col])), of))
 

@@ -154,7 +154,7 @@ def kneser_ney(train, docs):
 
 
 def licenses(text, rules, base):
-    """n_words, base places, labels of base and all detections that no stronger one contains."""
+    """n_words, base places, labels of base and all detections that no stronger one contains, and the largest weight."""
     words = normal_words(text)
     joined = " " + " ".join(words) + " " if words else " "
 
@@ -162,16 +162,16 @@ def licenses(text, rules, base):
         out = []
         for n, r in enumerate(some):
             if r.keyword in joined:
-                for m in re.finditer(f"(?<= )(?:{r.pattern})(?= )" if "|" not in r.pattern else f"(?<= ){r.pattern}(?= )", joined):
+                for m in re.finditer(f"(?<= )(?:{r.pattern})(?= )", joined):
                     at = joined[: m.start()].count(" ") - 1
-                    out.append((at, at + m.group().count(" ") + 1, r.label, r.priority, first + n))
+                    out.append((at, at + m.group().count(" ") + 1, r.label, r.priority, first + n, r.weight))
         return out
 
     places = found(base, 0)
     every = places + found(rules, len(base))
     rank = lambda x: (x[3], x[1] - x[0], -x[4], -x[0])
     strong = [x for x in every if not any(y[0] <= x[0] and y[1] >= x[1] and rank(y) > rank(x) for y in every)]
-    return len(words), sorted(x[0] for x in places), {x[2] for x in places}, {x[2] for x in places + strong}
+    return len(words), sorted(x[0] for x in places), {x[2] for x in places}, {x[2] for x in places + strong}, max([x[5] for x in places + strong], default=0.0)
 
 
 def mixture(rows, powers, sweeps, seed="mix"):

@@ -43,5 +43,5 @@ def clashing(documents):
     """Extra columns with the names that operators use inside, or give their results."""
     from pyspark.sql import functions as F
 
-    names = "id key row fp h host found text_language language confidence n_lines n_removed runs left topic n_tokens weight probability sampled words window items start end _id _key m0 f_m0 largest component_id a b".split()
+    names = "id key row fp h host found text_language language confidence n_lines n_removed runs left topic n_tokens weight probability sampled words window items start end _id _key m0 f_m0 largest component_id a b digest keep_id group_size kept spans n_bytes license_scan".split()
     return documents.limit(60).select("*", *[F.lit(f"own {n}").alias(n) for n in names])

@@ -163,7 +163,7 @@ def test_licenses(spark, sf, texts):
     docs = [*texts, *[(10_000 + n, t) for n, t in enumerate(names)], (20_000, "x " * 50 + ". ".join(names))]
     got = licenses.scan(spark.createDataFrame(docs, "doc_id bigint, text string")).select("doc_id", "license_scan").collect()
     for r in got:
-        n, places, base, every = brute.licenses(dict(docs)[r.doc_id], licenses.RULES, licenses.BASE)
+        n, places, base, every, _ = brute.licenses(dict(docs)[r.doc_id], licenses.RULES, licenses.BASE)
         s = r.license_scan
         assert (s.n_words, sorted(x.start for x in s.base), {x.label for x in s.base}, {x.label for x in s.base} | {x.label for x in s.found}) == (n, places, base, every), r.doc_id
     assert len(licenses.RULES) > 200
@@ -171,6 +171,28 @@ def test_licenses(spark, sf, texts):
     assert [labels[10_000 + n] for n in range(6)] == [{"apache-2"}, {"mit", "cc-by-nc", "cc-by-nc-sa"}, {"lgpl-3"}, {"mpl-2"}, {"epl-2"}, set()]
 
 
+def test_license_query(spark, sf, texts):
+    got = {r.doc_id: tuple(r)[1:] for r in licenses.op4_license_scan(spark, sf).collect()}
+    assert len(got) == len(texts)
+    for d, text in texts:
+        n, places, base, every, score = brute.licenses(text, licenses.RULES, licenses.BASE)
+        assert got[d] == (n, len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(every)), score)
+
+
+def test_license_suppression(spark):
+    """Random word salads of the rules' own words, with very many detections in one text, against the plain version."""
+    rng = random.Random(12)
+    parts = ["licensed under", "under the mit license", "not", "gpl 2 0", "or later", "apache license version 2", "with classpath exception", "cc by nc", "sa 4 0", "dual", "mit license", "all rights reserved", "no license", "is granted", "x"]
+    docs = [(n, " ".join(rng.choice(parts) for _ in range(rng.choice([3, 30, 300])))) for n in range(60)] + [(100, "licensed under cc by-nc-sa 4.0. " * 3000)]
+    got = licenses.scan(spark.createDataFrame(docs, "doc_id bigint, text string")).select("doc_id", "license_scan").collect()
+    for r in got:
+        n, places, base, every, _ = brute.licenses(dict(docs)[r.doc_id] if r.doc_id < 100 else docs[-1][1][:3000], licenses.RULES, licenses.BASE)
+        s = r.license_scan
+        assert {x.label for x in s.base} | {x.label for x in s.found} == every
+        assert r.doc_id == 100 or (s.n_words, sorted(x.start for x in s.base)) == (n, places)
+    assert len(got[-1].license_scan.base) == 3000
+
+
 def test_exact_dedup_continues(spark, texts):
     path = scratch_path(spark, "index")
     df = spark.createDataFrame(texts, "doc_id bigint, text string")
