@@ -123,10 +123,10 @@ def _join_sets(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
 
 
 def _cell_links(distance: int):
-    """For rows (cell, part, part, fp, value, home) sorted in that order: the links of homes to all rows of their cell
-    with a near value, as one star around the least fp of each linked set."""
+    """For rows (cell, part, part, fp, value, home, and a further word if need be) sorted in that order: the links of homes
+    to all rows of their cell with a near value, as one star around the least fp of each linked set."""
 
-    def links(fp: np.ndarray, value: np.ndarray, home: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def links(fp: np.ndarray, words: list[np.ndarray], home: np.ndarray, first: np.ndarray) -> np.ndarray:
         starts = np.nonzero(first)[0]
         size, start = np.diff(np.append(starts, len(fp))), starts
         group = np.cumsum(first) - 1
@@ -140,7 +140,7 @@ def _cell_links(distance: int):
             h, n = homes[k:k2], per[k:k2]
             left = np.repeat(h, n)
             right = np.repeat(start[group[h]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            near = np.bitwise_count(value[left] ^ value[right]) <= distance
+            near = sum(np.bitwise_count(w[left] ^ w[right]).astype(np.int16) for w in words) <= distance
             _join_sets(label, left[near], right[near])
             k = k2
         linked = np.nonzero(label != np.arange(len(fp)))[0]
@@ -151,13 +151,13 @@ def _cell_links(distance: int):
         held: list[np.ndarray] = []
 
         def joined(columns):
-            *cells, fp, value, home = columns
+            cells, (fp, value, home, *further) = columns[:3], columns[3:]
             first = np.ones(len(fp), bool)
             first[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cells])
-            return fp, value.view(np.uint64), home.astype(bool), first
+            return fp, [w.view(np.uint64) for w in (value, *further)], home.astype(bool), first
 
-        def out(*rows):
-            a, b = links(*rows)
+        def out(fp, words, home, first, cut=None):
+            a, b = links(fp[:cut], [w[:cut] for w in words], home[:cut], first[:cut])
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
@@ -166,7 +166,7 @@ def _cell_links(distance: int):
             rows = joined(held)
             cut = int(np.nonzero(rows[-1])[0][-1]) if len(rows[0]) else 0
             if cut:  # the last cell may go on in the next batch
-                yield out(*[x[:cut] for x in rows])
+                yield out(*rows, cut)
                 held = [c[cut:] for c in held]
         if held and len(held[0]):
             yield out(*joined(held))
@@ -174,23 +174,27 @@ def _cell_links(distance: int):
     return of
 
 
-def fingerprint_links(prints: DataFrame, distance: int, cell_rows: int = CELL_ROWS) -> DataFrame:
+def fingerprint_links(prints: DataFrame, distance: int, cell_rows: int = CELL_ROWS, total: int | None = None) -> DataFrame:
     """``prints`` has rows (sketch, value, fp), each sketch and value once. Returns links (a, b) of fps that connect the
     same ones as all pairs of values of one sketch within ``distance`` do: in each cell a linked set gives a star and
-    not all of its pairs."""
+    not all of its pairs.
+
+    With ``total``, ``prints`` has a further word ``check``; then pairs that meet at an anchor, as all within ``distance``
+    do, are linked if value and check together differ in at most ``total`` bits."""
+    further = [] if total is None else ["check"]
     of_block = F.transform(_replicas(F.col("value"), distance), lambda x: F.struct((x["cell"] * 16 + F.col("sketch")).alias("cell"), x["home"].alias("home")))
-    rows = prints.select("fp", "value", F.inline(of_block))
+    rows = prints.select("fp", "value", *further, F.inline(of_block))
     # An anchor with very many fingerprints is dealt out in parts; each two of its parts meet in one cell.
     large = materialize(rows.groupBy("cell").count().where(F.col("count") > cell_rows).select("cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("parts")), "large_cells")
     if large.isEmpty():
-        dealt = rows.select("cell", F.lit(0).alias("p"), F.lit(0).alias("q"), "fp", "value", "home")
+        dealt = rows.select("cell", F.lit(0).alias("p"), F.lit(0).alias("q"), "fp", "value", "home", *further)
     else:
         marked = rows.join(sized(large), "cell", "left")
         part = F.pmod(F.xxhash64("value"), F.coalesce("parts", F.lit(1))).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
-        dealt = marked.select("cell", "fp", "value", "home", part.alias("own"), other.alias("other")).select("cell", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "fp", "value", "home")
+        dealt = marked.select("cell", "fp", "value", "home", *further, part.alias("own"), other.alias("other")).select("cell", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "fp", "value", "home", *further)
     ordered = dealt.repartition("cell", "p", "q").sortWithinPartitions("cell", "p", "q", "fp")
-    return ordered.mapInArrow(_cell_links(distance), "a bigint, b bigint")
+    return ordered.mapInArrow(_cell_links(distance if total is None else total), "a bigint, b bigint")
 
 
 def near_duplicate_groups(docs: DataFrame, k: int = 5, distance: int = 6, sketches: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import brute
 import corpus_pipeline
 import pytest
+import test_similar
 from pyspark.sql import functions as F
 
 from sparkloom.llm import decontaminate, exact_dedup, kneser_ney, language_id, licenses, line_dedup, mixing, simhash, suffix_dedup, url_filter
@@ -79,7 +80,7 @@ def test_pipeline(spark, documents):
     benchmark = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     left = brute.cut_lines([(d, t) for d, t, *_ in docs])
     docs = [(d, left[d], *rest) for d, t, *rest in docs if left[d] == t or left[d].strip(" \t\n\x0b\f\r")]
-    _, group = brute.near_groups([(d, t) for d, t, *_ in docs], 5, 6, 4)
+    group = test_similar.groups([(d, t) for d, t, *_ in docs])
     docs = [r for r in docs if group[r[0]] == r[0]]
     hit = brute.contamination([(d, t) for d, t, *_ in docs], benchmark)
     docs = [r for r in docs if not hit[r[0]][1]]

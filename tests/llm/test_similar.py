@@ -5,8 +5,10 @@ import random
 import brute
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 
 from sparkloom.llm import similar
+from sparkloom.llm.simhash import _blocks, _majorities
 
 
 def shingles(text, k=5):
@@ -48,14 +50,48 @@ def test_stage_keeps_pairs_below(spark, sf, documents):
     assert kept == {d for d, first in groups(left).items() if d == first} and {141, 144} < kept
 
 
-def test_candidates_share_a_band():
-    """Of pairs with a similarity of 0.8 all share a band; of those with 0.1 few do."""
-    rng = np.random.default_rng(1)
-
-    def met(shared, own):
-        values = [rng.integers(0, 1 << 64, shared + 2 * own, dtype=np.uint64) for _ in range(1000)]
-        both = np.concatenate([x for v in values for x in (v[: shared + own], np.delete(v, np.s_[shared : shared + own]))])
-        keys = similar._bands(both, np.arange(0, len(both) + 1, shared + own))
-        return (keys[::2] == keys[1::2]).any(axis=1).sum()
-
-    assert met(80, 10) == 1000 and met(20, 90) < 20
+def candidates(shared, own, other, pairs=1000):
+    """Share of pairs of random sets, with ``shared`` shingles in both, that meet at an anchor and are near enough."""
+    rng = np.random.default_rng(shared + own)
+
+    def prints(sets):
+        ends = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))
+        return [_majorities(lists, i) for i in range(similar.SKETCHES)]
+
+    values = [rng.integers(-(1 << 63), (1 << 63) - 1, shared + own + other, dtype=np.int64) for _ in range(pairs)]
+    a, b = prints([v[: shared + own] for v in values]), prints([np.delete(v, np.s_[shared : shared + own]) for v in values])
+    found = np.zeros(pairs, bool)
+    for i in range(similar.SKETCHES):
+        x, y = a[i] ^ b[i], a[(i + 1) % similar.SKETCHES] ^ b[(i + 1) % similar.SKETCHES]
+        blocks = [np.bitwise_count(x >> np.uint64(at) & np.uint64((1 << n) - 1)) for at, n in _blocks(similar.DISTANCE)]
+        found |= (np.min(blocks, axis=0) <= 1) & (np.bitwise_count(x).astype(int) + np.bitwise_count(y) <= similar.TOTAL)
+    return found.mean()
+
+
+def test_recall_of_candidates():
+    """Pairs at a similarity of 0.8 and at 0.9, and sets of few shingles; pairs at 0.1 are hardly ever candidates."""
+    assert min(candidates(40, 5, 5), candidates(160, 20, 20), candidates(400, 100, 0)) > 0.99
+    assert min(candidates(90, 5, 5), candidates(900, 50, 50)) > 0.998
+    assert min(candidates(4, 1, 0), candidates(8, 1, 1)) > 0.93
+    assert candidates(20, 90, 90) < 0.001
+
+
+def test_recall_of_the_stage(spark):
+    """Planted pairs of whole texts, word by word changed until the similarity is just 0.8 or 0.9."""
+    rng, docs = random.Random(3), []
+    for level, least in enumerate((0.8, 0.9)):
+        for n in range(150):
+            words = [f"w{rng.randrange(10**9)}" for _ in range(300)]
+            copy = list(words)
+            while True:
+                further = list(copy)
+                further[rng.randrange(300)] = f"x{rng.randrange(10**9)}"
+                a, b = shingles(" ".join(words)), shingles(" ".join(further))
+                if len(a & b) < least * len(a | b):
+                    break
+                copy = further
+            docs += [(1000 * level + 2 * n, " ".join(words)), (1000 * level + 2 * n + 1, " ".join(copy))]
+    got = {r.doc_id: r.component_id for r in similar.similar_groups(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    for level in (0, 1):
+        assert sum(got[1000 * level + 2 * n + 1] == 1000 * level + 2 * n for n in range(150)) >= 148
