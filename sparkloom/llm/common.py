@@ -10,6 +10,7 @@ import pyarrow.compute
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from ..scratch import scratch_path, shared_dir
 
@@ -21,8 +22,8 @@ SPACE_CHARS = " \t\n\x0b\f\r"
 #: What separates words of letters and digits; it is applied after lower-casing A-Z.
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A side is broadcast only when a count has shown that it has no more rows than this.
-BROADCAST_ROWS = 100_000
+#: A side is broadcast only when a count has shown that it has no more rows, and no more bytes in texts and arrays.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 1 << 25
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,11 +38,16 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sized(side: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``side`` with a broadcast hint if it has at most ``limit`` rows; else as it is, for a shuffled join.
+def sized(side: DataFrame, limit: int | None = None) -> DataFrame:
+    """``side`` with a broadcast hint if it has at most ``limit`` rows (BROADCAST_ROWS) and BROADCAST_BYTES bytes; else as it
+    is, for a shuffled join.
 
     ``side`` is counted, so it should be materialized or small to compute."""
-    return F.broadcast(side) if side.limit(limit + 1).count() <= limit else side
+    limit = BROADCAST_ROWS if limit is None else limit
+    wide = [F.col(f"`{f.name}`") for f in side.schema if isinstance(f.dataType, StringType | BinaryType | ArrayType | MapType | StructType)]
+    size = F.octet_length(F.to_json(F.struct(*wide))) if wide else F.lit(0)
+    n, total = side.limit(limit + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()
+    return F.broadcast(side) if n <= limit and total <= BROADCAST_BYTES else side
 
 
 def let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -74,6 +80,10 @@ def normal_words(text: Column) -> Column:
     return F.regexp_replace(joined, NON_WORD, " ")
 
 
+def spaces_in(text: Column) -> Column:
+    return (F.char_length(text) - F.char_length(F.replace(text, F.lit(" "), F.lit("")))).cast("bigint")
+
+
 def row_key(*columns: str) -> Column:
     """A hash that tells rows with the same id but other contents apart (together with the id itself)."""
     return F.xxhash64(*columns)

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, load, normal_words, text_or_empty
+from .common import let, load, normal_words, spaces_in, text_or_empty
 from .license_rules import BASE, RULES, STEMS, Rule
 
 _DETECTION = "array<struct<start:bigint,end:bigint,label:string,priority:int,weight:double,rule:int>>"
@@ -26,10 +26,6 @@ def _by_keyword(rules: list[Rule]) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*of).alias("rules")) for k, of in keywords.items()])
 
 
-def _spaces(text: Column) -> Column:
-    return (F.char_length(text) - F.char_length(F.replace(text, F.lit(" "), F.lit("")))).cast("bigint")
-
-
 def _places(text: Column, rule: Column) -> Column:
     """The detections of one rule in a text of words enclosed in single spaces."""
 
@@ -38,8 +34,8 @@ def _places(text: Column, rule: Column) -> Column:
         none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_DETECTION).alias("out"))
 
         def step(a: Column, x: Column) -> Column:
-            start = a["at"] + _spaces(x["gap"])
-            end = start + _spaces(x["match"])
+            start = a["at"] + spaces_in(x["gap"])
+            end = start + spaces_in(x["match"])
             one = F.struct((start - 1).alias("start"), end.alias("end"), rule["label"].alias("label"), rule["priority"].alias("priority"), rule["weight"].alias("weight"), rule["rule"].alias("rule"))
             return F.struct(end.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
 
@@ -93,7 +89,7 @@ def scan(docs: DataFrame, text_col: str = "text", rules: list[Rule] | None = Non
     def of(text: Column) -> Column:
         gate, none = reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in stems]), F.array().cast(_DETECTION)
         both = lambda found: F.struct(
-            (_spaces(text) - 1).alias("n_words"),
+            (spaces_in(text) - 1).alias("n_words"),
             F.filter(found, lambda d: d["rule"] < len(BASE)).alias("base"),
             F.when(F.size(found) > 0, _strongest(found)).otherwise(none).alias("found"),
         )
