@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ class DigestIndex:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64, id_type: str = "bigint"):
         self.spark, self.path, self.buckets = spark, path, buckets
-        self.name = "digest_index_" + "".join(c if c.isalnum() else "_" for c in path.rpartition("/")[2]).lower()
+        self.name = "digest_index_" + hashlib.sha256(path.encode()).hexdigest()[:32]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} (digest STRING, keep_id {id_type}) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
@@ -30,6 +32,10 @@ class DigestIndex:
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def close(self) -> None:
+        """Forget the table's name; the files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def append(self, rows: DataFrame) -> None:
         """Add rows with new digests. They are dealt out by bucket first, so that each task writes one file."""
         rows.select("digest", "keep_id").repartition(self.buckets, "digest").write.insertInto(self.name)
@@ -59,6 +65,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents`` as the first batch of a new index."""
     index = DigestIndex(spark, scratch_path(spark, "digest_index"))
     out = index.dedup(load(spark, sf_dir, "documents"))
+    index.close()
     return out.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, exact_dedup, kneser_ney, language_id, licenses, line_dedup, mixing, registry, simhash, suffix_dedup, url_filter
+from sparkloom.llm import common, decontaminate, exact_dedup, kneser_ney, language_id, licenses, line_dedup, mixing, registry, simhash, suffix_dedup, url_filter
 from sparkloom.llm.common import scratch_path
 from sparkloom.llm.components import connected_components, toward_least
 from sparkloom.llm.deep_shallow import BlindTrie, suffix_order
@@ -145,7 +145,10 @@ def test_line_dedup(spark, texts):
     assert got == brute.cut_lines(docs)
 
 
-def test_decontamination(spark):
+@pytest.mark.parametrize("rows", [0, 100_000])
+def test_decontamination(spark, monkeypatch, rows):
+    """With and without sides that are small enough to broadcast."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", rows)
     rng = random.Random(8)
     w = [f"t{n}" for n in range(30)]
     items = [(n, " ".join(rng.choice(w) for _ in range(rng.choice([1, 3, 9, 10, 11, 25])))) for n in range(25)] + [(90, None), (91, "..."), (92, "T1, t2! t3")]
@@ -207,6 +210,19 @@ def test_exact_dedup_continues(spark, texts):
     assert "SortMergeJoin" in plan and plan.count("Exchange") == 1  # the index's side is not shuffled
 
 
+def test_indexes_with_equal_names(spark):
+    """Two folders with the same last part are two indexes; a closed one goes on from its files."""
+    docs = spark.createDataFrame([(5, "a"), (6, "b")], "doc_id bigint, text string")
+    paths = [f"{scratch_path(spark, x)}/index" for x in ("one", "two")]
+    first = exact_dedup.DigestIndex(spark, paths[0], buckets=2)
+    assert first.dedup(docs).where("kept").count() == 2
+    second = exact_dedup.DigestIndex(spark, paths[1], buckets=2)
+    assert second.table().count() == 0 and second.dedup(docs.withColumn("doc_id", F.col("doc_id") + 10)).where("kept").count() == 2
+    first.close()
+    again = exact_dedup.DigestIndex(spark, paths[0], buckets=2).dedup(docs.withColumn("doc_id", F.lit(1).cast("bigint"))).collect()
+    assert sorted(r.keep_id for r in again) == [5, 6] and not any(r.kept for r in again)
+
+
 def test_kneser_ney(spark, sf, texts):
     train = [(d, t) for d, t in texts if __import__("zlib").crc32(str(d).encode()) % 7 != 2]
     want, _, _ = brute.kneser_ney(train, texts)
