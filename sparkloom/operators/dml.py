@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import scratch_path
+
 Keys = list[tuple[str, ...]]
 
 
@@ -14,29 +16,57 @@ def insert(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(source, allowMissingColumns=True)
 
 
-def _first(source: DataFrame, keys: Keys, order: Column, last: bool = False) -> DataFrame:
-    """One row for each key, the first (or last) by ``order``; NULL keys are never equal."""
-    for k in keys:
-        w = Window.partitionBy(*k).orderBy(order.desc() if last else order.asc())
+def _numbered(rows: DataFrame, keys: Keys, *order: Column) -> DataFrame:
+    """``rows`` that come first, by ``order``, among those with an equal key, for each of the keys; NULL keys are never equal."""
+    numbers = [f"_n{i}" for i in range(len(keys))]
+    for name, k in zip(numbers, keys, strict=True):
         null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in k])
-        source = source.withColumn("_n", F.when(null, F.lit(1)).otherwise(F.row_number().over(w))).where("_n = 1").drop("_n")
-    return source
+        apart = F.when(null, F.monotonically_increasing_id())  # spreads rows with a NULL key
+        w = Window.partitionBy(*k, "_apart").orderBy(*order)
+        rows = rows.withColumn("_apart", apart).withColumn(name, F.row_number().over(w)).drop("_apart")
+    return rows.where(reduce(lambda a, b: a & b, [F.col(n) == 1 for n in numbers])).drop(*numbers)
+
+
+def _written(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    path = scratch_path(spark, "rows")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _accepted(source: DataFrame, keys: Keys, order: Column) -> DataFrame:
+    """The rows that stay if each is taken in turn unless one taken before has an equal key.
+
+    A round takes the rows that are first for all their keys, and drops those that conflict with them; rows that only
+    conflicted with dropped ones go on to the next round. Rounds end in files."""
+    left = _written(source.select("*", order.alias("_order"), F.monotonically_increasing_id().alias("_row")))
+    taken = []
+    while True:
+        first = _written(_numbered(left, keys, F.col("_order"), F.col("_row")))
+        taken.append(first)
+        rest = left.join(first.select("_row"), "_row", "left_anti")
+        for k in keys:
+            rest = rest.join(first.select(*k), list(k), "left_anti")
+        left = _written(rest.select(*left.columns))
+        if left.isEmpty():
+            return reduce(DataFrame.unionAll, taken).select(*source.columns)
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: Keys, order: Column) -> DataFrame:
-    """Source rows whose keys are new; of equal keys in the source the first by ``order`` stays."""
-    new = _first(source, keys, order)
+    """Source rows, in turn by ``order``, that conflict in no key with a row of the target or one inserted before."""
+    new = source
     for k in keys:
         new = new.join(target.select(*k), list(k), "left_anti").select(*source.columns)
+    new = _numbered(new, keys, order) if len(keys) == 1 else _accepted(new, keys, order)
     return target.unionByName(new.select(*target.columns))
 
 
 def replace_into(target: DataFrame, source: DataFrame, keys: Keys, order: Column) -> DataFrame:
-    """Source rows take the place of target rows with equal keys; of equal keys in the source the last stays."""
-    new = _first(source, keys, order, last=True)
-    old = target
+    """Source rows, in turn by ``order``, each take the place of all rows with an equal key, of the target and of the source;
+    a row that is itself replaced later has replaced others before."""
+    new, old = _numbered(source, keys, order.desc()), target
     for k in keys:
-        old = old.join(new.select(*k), list(k), "left_anti").select(*target.columns)
+        old = old.join(source.select(*k), list(k), "left_anti").select(*target.columns)
     return old.unionByName(new.select(*target.columns))
 
 

@@ -28,6 +28,15 @@ def dml_insert_ignore(spark, sf_dir):
     return dml.insert_ignore(t, s, [("c_custkey",)], F.col("c_acctbal"))
 
 
+@query("""SELECT n_nationkey, n_name, n_regionkey FROM nation UNION ALL SELECT s.* FROM (SELECT n_nationkey + 20 AS n_nationkey, n_name || ' 2' AS n_name, n_regionkey FROM nation) s
+    WHERE NOT EXISTS (SELECT 1 FROM nation t WHERE t.n_nationkey = s.n_nationkey OR t.n_name = s.n_name)""")
+def dml_insert_ignore_two_keys(spark, sf_dir):
+    """Nations under new names, some of them with taken numbers; both columns are unique."""
+    t = table(spark, sf_dir, "nation")
+    s = t.select((F.col("n_nationkey") + 20).alias("n_nationkey"), F.concat("n_name", F.lit(" 2")).alias("n_name"), "n_regionkey")
+    return dml.insert_ignore(t, s, [("n_nationkey",), ("n_name",)], F.col("n_nationkey"))
+
+
 @query(f"SELECT * FROM {_S} UNION ALL SELECT * FROM {_T} t WHERE NOT EXISTS (SELECT 1 FROM {_S} s WHERE t.c_custkey = s.c_custkey)")
 def dml_replace_into(spark, sf_dir):
     t, s = _halves(spark, sf_dir)

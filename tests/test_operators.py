@@ -1,5 +1,7 @@
 """Changes, JSON tables, delimited files, declared tables, plans and procedures."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,6 +24,32 @@ def test_insert_ignore_and_replace(spark):
     assert rows(dml.replace_into(t, s, [("id",), ("name",)], F.col("n"))) == [(1, "z", 1), (3, "d", 3), (4, "b", 4)]
 
 
+def in_turn(target, source, keys, replace):
+    """Rows (id, name, n) one after the other, as a database would take them."""
+    out = list(target)
+    for r in sorted(source, key=lambda r: r[2]):
+        equal = [o for o in out if any(r[k] is not None and o[k] == r[k] for k in keys)]
+        if replace:
+            out = [o for o in out if o not in equal]
+        if replace or not equal:
+            out.append(r)
+    return sorted(out, key=str)
+
+
+def test_several_unique_keys(spark):
+    schema = "id int, name string, n int"
+    ignore = lambda t, s: rows(dml.insert_ignore(spark.createDataFrame(t, schema), spark.createDataFrame(s, schema), [("id",), ("name",)], F.col("n")))
+    assert ignore([(9, "a", 0)], [(1, "a", 1), (1, "c", 2)]) == [(1, "c", 2), (9, "a", 0)]
+    assert ignore([], [(1, "a", 1), (2, "a", 2), (2, "b", 3)]) == [(1, "a", 1), (2, "b", 3)]
+    rng = random.Random(1)
+    for _ in range(4):
+        batch = [(rng.choice([None, *range(8)]), rng.choice([None, *"abcdefgh"]), n) for n in range(40)]
+        t, s = in_turn([], batch[:10], (0, 1), False), batch[10:]
+        assert ignore(t, s) == in_turn(t, s, (0, 1), False)
+        got = dml.replace_into(spark.createDataFrame(t, schema), spark.createDataFrame(s, schema), [("id",), ("name",)], F.col("n"))
+        assert rows(got) == in_turn(t, s, (0, 1), True)
+
+
 def test_null_keys_never_conflict(spark):
     t = spark.createDataFrame([(None, 1)], "id int, n int")
     s = spark.createDataFrame([(None, 2), (None, 3)], "id int, n int")
