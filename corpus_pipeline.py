@@ -21,8 +21,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: links are pairs with an exact Jaccard similarity of five-word
-    shingles of 0.8 at least. Candidates for it miss 3 in a million of the pairs at 0.8."""
+    """One document of each near-duplicate group stays. SimHash fingerprints that meet at anchors make candidates; links are
+    those with an exact Jaccard similarity of five-word shingles of 0.8 at least."""
     return drop_similar(docs, k=5, similarity=0.8)
 
 
@@ -43,7 +43,7 @@ STAGES = [
     ("decontamination", decontamination),
     ("mixing", mixing),
 ]
-#: Language identification and fingerprint groups have no SQL form; tests/llm compares run() with a brute-force version.
+#: Language identification and near-duplicate groups have no SQL form; tests/llm compares run() with a brute-force version.
 ORACLE_SQL = None
 
 
