@@ -160,17 +160,13 @@ def join_anti(spark, sf_dir):
     return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
 
 
-_NODES = "(SELECT 'r' || r_regionkey AS id, NULL AS parent FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer WHERE c_custkey < 300)"
+_NODES = "(SELECT 'r' || r_regionkey AS id, NULL AS parent FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer)"
 
 
-#: The same tree with all customers.
-_ALL_NODES = _NODES.replace(" WHERE c_custkey < 300", "")
-
-
-def _nodes(spark: SparkSession, sf_dir: str, customers: str = "c_custkey < 300") -> DataFrame:
+def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "region").selectExpr("concat('r', r_regionkey) AS id", "CAST(NULL AS STRING) AS parent")
     n = table(spark, sf_dir, "nation").selectExpr("concat('n', n_nationkey)", "concat('r', n_regionkey)")
-    return r.unionAll(n).unionAll(table(spark, sf_dir, "customer").where(customers).selectExpr("concat('c', c_custkey)", "concat('n', c_nationkey)"))
+    return r.unionAll(n).unionAll(table(spark, sf_dir, "customer").selectExpr("concat('c', c_custkey)", "concat('n', c_nationkey)"))
 
 
 @query(f"SELECT p.id AS parent, count(*) AS children FROM {_NODES} p JOIN {_NODES} c ON c.parent = p.id GROUP BY p.id")
@@ -185,16 +181,16 @@ def cte_recursive(spark, sf_dir):
     return rel.tree_levels(_nodes(spark, sf_dir), "id", "parent")
 
 
-@query(f"SELECT p.id AS parent, count(*) AS children FROM {_ALL_NODES} p JOIN {_ALL_NODES} c ON c.parent = p.id GROUP BY p.id")
+@query(f"SELECT p.id AS parent, count(*) AS children FROM {_NODES} p JOIN {_NODES} c ON c.parent = p.id GROUP BY p.id")
 def join_self_tree_whole(spark, sf_dir):
-    n = _nodes(spark, sf_dir, "true")
+    n = _nodes(spark, sf_dir)
     return n.alias("p").join(n.alias("c"), F.col("c.parent") == F.col("p.id")).groupBy(F.col("p.id").alias("parent")).agg(F.count(F.lit(1)).alias("children"))
 
 
-@query(f"""WITH RECURSIVE t AS {_ALL_NODES}, walk AS (SELECT id, id AS root, 0 AS depth, id AS path FROM t WHERE parent IS NULL
+@query(f"""WITH RECURSIVE t AS {_NODES}, walk AS (SELECT id, id AS root, 0 AS depth, id AS path FROM t WHERE parent IS NULL
   UNION ALL SELECT t.id, root, depth + 1, path || '/' || t.id FROM walk JOIN t ON t.parent = walk.id) SELECT * FROM walk""")
 def cte_recursive_whole(spark, sf_dir):
-    return rel.tree_levels(_nodes(spark, sf_dir, "true"), "id", "parent")
+    return rel.tree_levels(_nodes(spark, sf_dir), "id", "parent")
 
 
 @query("SELECT n_name, len(list(c_custkey)) AS customers, list_sum(list(c_custkey)) AS ids FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_name, n_nationkey")
