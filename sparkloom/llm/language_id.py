@@ -2,7 +2,9 @@
 
 The posterior of a document's language multiplies a smoothed prior of its host, the likelihood of its text, and the
 likelihoods of its declared markup language and of its address suffix. Host priors are grouped counts of declared
-languages, smoothed towards the host's domain, and the domain's towards all hosts."""
+languages, smoothed towards the host's domain, and the domain's towards all hosts; a row's own declaration, which is
+evidence by itself, is left out of them. One more hypothesis, any other language or none, takes trigrams to be even over
+all bins, and declared languages outside the set as its own."""
 
 from __future__ import annotations
 
@@ -28,7 +30,9 @@ HOST_STRENGTH = 20.0
 DECLARED_ERROR, SUFFIX_ERROR = 0.05, 0.3
 #: Trigrams of one text aren't independent; their evidence levels off at that of so many.
 EVIDENCE = 200.0
-#: Below this posterior, or without any letter, the language is undetermined.
+#: Prior of the hypothesis that a text is in none of the languages.
+OTHER_PRIOR = 0.01
+#: Below this posterior, or without any letter, or where none of the languages is likelier, the language is undetermined.
 CONFIDENCE = 0.5
 
 
@@ -77,19 +81,34 @@ def text_model(docs: DataFrame, languages: tuple[str, ...], sample_rows: int, te
     return np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
-def host_priors(docs: DataFrame, languages: tuple[str, ...], host: Column, declared_col: str, strength: float = HOST_STRENGTH) -> DataFrame:
-    """``host`` and ``prior``, an array of probabilities in the order of ``languages``."""
+def host_counts(docs: DataFrame, languages: tuple[str, ...], host: Column, declared_col: str) -> DataFrame:
+    """``host`` and the numbers of its rows, its domain's and all rows by declared language: arrays ``host_n``,
+    ``domain_n`` and ``all_n`` in the order of ``languages``."""
     counts = [F.sum((F.col("declared") == x).cast("double")).alias(f"n_{x}") for x in languages]
     hosts = materialize(docs.select(host.alias("host"), F.col(declared_col).alias("declared")).where(F.col("declared").isin(*languages)).groupBy("host").agg(*counts), "hosts")
     hosts = hosts.withColumn("domain", _domain(F.col("host")))
     sums = [F.sum(f"n_{x}").alias(f"n_{x}") for x in languages]
     row = lambda: F.array(*[F.coalesce(f"n_{x}", F.lit(0.0)) for x in languages])
-    everywhere = F.broadcast(hosts.agg(*sums).select(_smoothed(row(), F.array_repeat(F.lit(1.0 / len(languages)), len(languages)), float(len(languages))).alias("everywhere")))  # one row
-    domains = hosts.groupBy("domain").agg(*sums).crossJoin(everywhere).select("domain", _smoothed(row(), F.col("everywhere"), strength).alias("of_domain"))
-    return hosts.join(domains, "domain").select("host", _smoothed(row(), F.col("of_domain"), strength).alias("prior"))
+    domains = hosts.groupBy("domain").agg(*sums).select("domain", row().alias("domain_n"))
+    everywhere = F.broadcast(hosts.agg(*sums).select(row().alias("all_n")))  # one row
+    return hosts.join(domains, "domain").crossJoin(everywhere).select("host", row().alias("host_n"), "domain_n", "all_n")
+
+
+def prior(own: Column, strength: float = HOST_STRENGTH) -> Column:
+    """The host's prior from ``host_counts``, less the counts ``own``."""
+    less = lambda n: F.zip_with(n, own, lambda a, b: a - b)
+    even = F.transform(own, lambda x: F.lit(1.0) / F.size(own))
+    size = F.size(own).cast("double")
+    return _smoothed(less("host_n"), _smoothed(less("domain_n"), _smoothed(less("all_n"), even, size), strength), strength)
+
+
+def host_priors(docs: DataFrame, languages: tuple[str, ...], host: Column, declared_col: str, strength: float = HOST_STRENGTH) -> DataFrame:
+    """``host`` and ``prior``, an array of probabilities in the order of ``languages``."""
+    none = F.array_repeat(F.lit(0.0), len(languages))
+    return host_counts(docs, languages, host, declared_col).select("host", prior(none, strength).alias("prior"))
 
 
-def _smoothed(counts: Column, prior: Column, strength: float) -> Column:
+def _smoothed(counts: Column, prior: Column, strength: Column | float) -> Column:
     total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
     return F.zip_with(counts, prior, lambda n, p: (n + p * strength) / (total + strength))
 
@@ -101,20 +120,21 @@ def _domain(host: Column) -> Column:
 
 def _identified(docs: DataFrame, host: Column, languages: tuple[str, ...], sample_rows: int, text_col: str, declared_col: str, labels: DataFrame | None) -> DataFrame:
     """``row``, the packed row, and ``found``, what ``identify`` adds."""
-    labels = docs if labels is None else labels
+    own_labels, labels = labels is None, docs if labels is None else labels
     model = text_model(labels, languages, sample_rows, text_col, declared_col)
-    priors = sized(materialize(host_priors(labels, languages, F.lower(host), declared_col).withColumnsRenamed({"host": "_host", "prior": "_prior"}), "priors"))
+    counts = host_counts(labels, languages, F.lower(host), declared_col).withColumnRenamed("host", "_host")
+    counts = sized(materialize(counts, "host_counts"))
     even = F.array_repeat(F.lit(1.0 / len(languages)), len(languages))
 
-    def index(code: Column) -> Column:
-        return reduce(lambda out, x: F.when(code == x[1], F.lit(x[0])).otherwise(out), enumerate(languages), F.lit(-1))
+    def index(code: Column, other: int) -> Column:
+        return reduce(lambda out, x: F.when(code == x[1], F.lit(x[0])).otherwise(out), enumerate(languages), F.when(code.isNull(), F.lit(-1)).otherwise(F.lit(other)))
 
     suffix = F.element_at(F.split(F.lower(host), r"\."), -1)
     suggested = F.create_map(*[F.lit(x) for kv in SUFFIXES.items() for x in kv])[suffix]
     n = len(languages)
 
     def likelihood(at: np.ndarray, error: float) -> np.ndarray:
-        out = np.full((len(at), n), np.log(error / max(n - 1, 1)))
+        out = np.full((len(at), n + 1), np.log(error / n))
         out[np.arange(len(at))[at >= 0], at[at >= 0]] = np.log(1 - error)
         out[at < 0] = 0
         return out
@@ -130,22 +150,26 @@ def _identified(docs: DataFrame, host: Column, languages: tuple[str, ...], sampl
                 each[i:j, k] = np.bincount(of, model[k][bins], j - i)
         mean = each / np.maximum(count, 1)[:, None]
         evidence = mean * (count / (1 + count / EVIDENCE))[:, None]
-        log = evidence + np.log(prior.flatten().to_numpy(zero_copy_only=False).reshape(rows, n))
+        other = -np.log(BINS) * (count / (1 + count / EVIDENCE))
+        chance = prior.flatten().to_numpy(zero_copy_only=False).reshape(rows, n) * (1 - OTHER_PRIOR)
+        log = np.column_stack([evidence + np.log(chance), other + np.log(OTHER_PRIOR)])
         log += likelihood(declared.to_numpy(zero_copy_only=False), DECLARED_ERROR) + likelihood(suffixed.to_numpy(zero_copy_only=False), SUFFIX_ERROR)
         p = np.exp(log - log.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         best, alone = p.argmax(axis=1), evidence.argmax(axis=1)
         sure = p.max(axis=1)
-        und = (count == 0) | (sure < CONFIDENCE)
+        und = (count == 0) | (sure < CONFIDENCE) | (best == n)
         names = np.array([*languages, "und"], object)
         return pa.StructArray.from_arrays(
             [pa.array(names[np.where(und, n, best)]), pa.array(sure), pa.array(names[np.where(count == 0, n, alone)]), pa.array(mean.max(axis=1))],
             names=["language", "confidence", "text_language", "text_score"],
         )
 
-    rows = docs.select(packed(docs).alias("row"), F.col(text_col).alias("text"), F.lower(host).alias("host"), index(F.col(declared_col)).alias("declared"), index(suggested).alias("suffixed"))
-    joined = rows.join(priors, rows["host"] == F.col("_host"), "left")
-    return joined.select("row", fuse(F.col("text"), F.coalesce("_prior", even), F.col("declared"), F.col("suffixed")).alias("found"))
+    rows = docs.select(packed(docs).alias("row"), F.col(text_col).alias("text"), F.lower(host).alias("host"), index(F.col(declared_col), n).alias("declared"), index(suggested, -1).alias("suffixed"))
+    joined = rows.join(counts, rows["host"] == F.col("_host"), "left")
+    own = F.array(*[((F.col("declared") == k) & F.lit(own_labels)).cast("double") for k in range(n)])
+    prior_ = F.when(F.col("_host").isNull(), even).otherwise(prior(own))
+    return joined.select("row", fuse(F.col("text"), prior_, F.col("declared"), F.col("suffixed")).alias("found"))
 
 
 def identify(
@@ -155,16 +179,32 @@ def identify(
     (what the text alone says) and ``text_score`` (its mean log-likelihood).
 
     ``host`` is a name with or without dots; its last label is looked up as an address suffix. ``labels`` are rows
-    that the text model and the host priors learn from (default: ``docs``), with their declared languages. Null or
-    unknown declarations, hosts and suffixes are no evidence; an unknown host has the prior of its absence, all
-    languages alike. Null, empty and letterless texts are 'und'. Repeated rows each give their row; an empty table
+    that the text model and the host priors learn from (default: ``docs``, each row's prior without its own declaration),
+    with their declared languages. Null declarations and null or unknown hosts and suffixes are no evidence; a declaration
+    outside ``languages`` speaks for none of them. An unknown host has the prior of its absence, all languages alike.
+    Null, empty and letterless texts are 'und', as are those in none of the languages; of equal posteriors the first in
+    the order of ``languages`` wins. Repeated rows each give their row; an empty table
     gives no rows. Columns with the added names are replaced."""
     out = _identified(docs, host, languages, sample_rows, text_col, declared_col, labels)
     return out.select(*unpacked(docs, **{c: F.col("found")[c] for c in ("language", "confidence", "text_language", "text_score")}))
 
 
+def identify_pages(pages: DataFrame, languages: tuple[str, ...] = LANGUAGES, sample_rows: int = SAMPLE_ROWS, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``page_id``, ``host``, ``declared`` and what ``identify`` adds, for HTML pages: the URL gives the host and its suffix,
+    ``<html lang>`` the declared markup language (its first part, so that en-GB is en), and what is left of the page
+    without scripts, styles, comments and tags the text. Nulls give null evidence and 'und' without text."""
+    html = F.col(html_col)
+    host = F.lower(F.nullif(F.regexp_extract(url_col, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1), F.lit("")))
+    told = F.lower(F.nullif(F.regexp_extract(html, r"(?i)<html[^>]*?\slang\s*=\s*[\x22']?([A-Za-z]+)", 1), F.lit("")))
+    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;", " ")
+    docs = pages.select("page_id", host.alias("host"), told.alias("declared"), text.alias("text"))
+    out = identify(docs, F.col("host"), languages, sample_rows, "text", "declared")
+    return out.drop("text")
+
+
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``documents`` whose language can be told; the others go."""
+    """``documents`` whose language can be told; the others go. Null and empty texts go; repeated rows stay alike; an empty
+    table stays empty."""
     out = _identified(docs, F.col("source"), LANGUAGES, SAMPLE_ROWS, "text", "lang", None)
     return out.where("found.language <> 'und'").select(*unpacked(docs))
 

@@ -204,3 +204,47 @@ def mixture(rows, powers, sweeps, seed="mix"):
         u = int(hashlib.md5(f"{seed}:{d}".encode()).hexdigest()[:13], 16) / 2**52
         out[d] = (w, p, u < p)
     return out
+
+
+def trigrams(text):
+    """Bins of letter trigrams with one gap at most, by plain loops over bytes."""
+    b = [c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()]
+    b = [c if 97 <= c <= 122 or c >= 128 else 32 for c in b]
+    for x, y, z in zip(b, b[1:], b[2:]):
+        if [x, y, z].count(32) < 2:
+            yield ((x * 0x9E3779B1 & 0xFFFFFFFF) ^ (y * 0x85EBCA6B & 0xFFFFFFFF) ^ (z * 0xC2B2AE35 & 0xFFFFFFFF)) >> 17
+
+
+def languages(rows, names, strength=20.0, bins=1 << 15):
+    """{id: (language, posterior, text language)} of (id, text, declared, host) rows, all of them labels too."""
+    counts = {k: Counter(t for _, text, told, _ in rows if told == k for t in trigrams(text)) for k in names}
+    total = {k: sum(c.values()) + 0.5 * bins for k, c in counts.items()}
+    suffixes = {"de": "de", "at": "de", "uk": "en", "us": "en", "au": "en", "ie": "en", "es": "es", "mx": "es", "ar": "es", "co": "es", "cl": "es", "fr": "fr"}
+    labels = Counter((host, told) for _, _, told, host in rows if told in names)
+    by_domain, by_language = Counter(), Counter()
+    for (host, told), c in labels.items():
+        by_language[told] += c
+        if host is not None:
+            by_domain[".".join(host.split(".")[-2:]), told] += c
+    seen, out = {h for h, _ in labels if h is not None}, {}
+    for row, text, told, host in rows:
+        n, grams = len(names), list(trigrams(text))
+        prior = [1 / n] * n
+        if host in seen:
+            domain = ".".join(host.split(".")[-2:])
+            for level, weight in ((by_language, n), ({k: by_domain[domain, k] for k in names}, strength), ({k: labels[host, k] for k in names}, strength)):
+                own = [level[k] - (k == told) for k in names]
+                prior = [(c + p * weight) / (sum(own) + weight) for c, p in zip(own, prior)]
+        scale = 1 / (1 + len(grams) / 200)
+        text_log = [scale * sum(math.log((counts[k][t] + 0.5) / total[k]) for t in grams) for k in names]
+        log = [x + math.log(0.99 * p) for x, p in zip(text_log, prior)] + [-scale * len(grams) * math.log(bins) + math.log(0.01)]
+        hints = [(told if told in names else None if told is None else "other", 0.05), (suffixes.get(host.split(".")[-1]) if host else None, 0.3)]
+        for hint, error in hints:
+            if hint is not None:
+                log = [x + math.log(1 - error if k == hint else error / n) for x, k in zip(log, [*names, "other"])]
+        weights = [math.exp(x - max(log)) for x in log]
+        best = max(range(n + 1), key=lambda k: weights[k])
+        sure = max(weights) / sum(weights)
+        und = not grams or sure < 0.5 or best == n
+        out[row] = ("und" if und else names[best], sure, "und" if not grams else names[max(range(n), key=lambda k: text_log[k])])
+    return out
