@@ -145,7 +145,8 @@ def _cell_links(distance: int):
             k = k2
         linked = np.nonzero(label != np.arange(len(fp)))[0]
         # A set of near values has the same star in each of its cells, so most links of a batch are alike.
-        return np.unique(np.stack([fp[linked], fp[label[linked]]]), axis=1)
+        star = np.unique(np.stack([fp[linked], fp[label[linked]]]), axis=1)
+        return star[:, star[0] != star[1]]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -174,15 +175,18 @@ def _cell_links(distance: int):
     return of
 
 
-def fingerprint_links(prints: DataFrame, distance: int, cell_rows: int = CELL_ROWS, total: int | None = None) -> DataFrame:
-    """``prints`` has rows (sketch, value, fp), each sketch and value once. Returns links (a, b) of fps that connect the
+def fingerprint_links(prints: DataFrame, distance: int, cell_rows: int = CELL_ROWS, total: int | None = None, replicas: bool = True) -> DataFrame:
+    """``prints`` has rows (sketch, value, fp), each sketch and value once; an fp may have many. Returns links (a, b) of fps that connect the
     same ones as all pairs of values of one sketch within ``distance`` do: in each cell a linked set gives a star and
     not all of its pairs.
 
     With ``total``, ``prints`` has a further word ``check``; then pairs that meet at an anchor, as all within ``distance``
-    do, are linked if value and check together differ in at most ``total`` bits."""
+    do, are linked if value and check together differ in at most ``total`` bits. Without ``replicas`` only values with one
+    home meet: some of the links, for a small part of the work."""
     further = [] if total is None else ["check"]
     of_block = F.transform(_replicas(F.col("value"), distance), lambda x: F.struct((x["cell"] * 16 + F.col("sketch")).alias("cell"), x["home"].alias("home")))
+    if not replicas:
+        of_block = F.filter(of_block, lambda x: x["home"])
     rows = prints.select("fp", "value", *further, F.inline(of_block))
     # An anchor with very many fingerprints is dealt out in parts; each two of its parts meet in one cell.
     large = materialize(rows.groupBy("cell").count().where(F.col("count") > cell_rows).select("cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("parts")), "large_cells")

@@ -57,8 +57,15 @@ def candidate_families(nodes: DataFrame) -> DataFrame:
     each = nodes.select("node", F.posexplode(F.array(*pairs)).alias("sketch", "of")).select("node", "sketch", "of.*")
     met = materialize(each.groupBy("sketch", "value", "check").agg(F.min("node").alias("fp"), F.max("node").alias("top")), "stand_ins")
     same = each.join(met.where("fp <> top"), ["sketch", "value", "check"]).select(F.col("node").alias("a"), F.col("fp").alias("b"))
-    near = fingerprint_links(met.select("sketch", "value", "check", "fp"), DISTANCE, total=TOTAL)
-    return connected_components(toward_least(near).unionAll(same))
+    # Near copies of one text meet again and again, so nodes that one sketch's homes link stand for each other: from there
+    # on a link is between two such groups.
+    prints = met.select("sketch", "value", "check", "fp")
+    first = fingerprint_links(prints.where("sketch = 0"), DISTANCE, total=TOTAL, replicas=False)
+    groups = materialize(connected_components(first.unionAll(same)), "groups")
+    group = sized(groups.select(F.col("node").alias("_node"), "label"))
+    named = prints.join(group, F.col("fp") == F.col("_node"), "left").select("sketch", "value", "check", F.coalesce("label", "fp").alias("fp"))
+    near = fingerprint_links(named, DISTANCE, total=TOTAL)
+    return connected_components(toward_least(near).unionAll(groups.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
 
 def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
