@@ -29,9 +29,15 @@ def get_bit(x: Column, place: Column | int) -> Column:
     return F.getbit(x.cast("bigint"), place).cast("int")
 
 
-def shift_left(x: Column, n: int) -> Column:
-    return F.when(x.isNotNull(), F.shiftleft(x.cast("bigint"), n) if 0 <= n < 64 else F.lit(0).cast("bigint"))
+def _shift(function: str, x: Column, n: Column | int) -> Column:
+    n = n if isinstance(n, Column) else F.lit(n)
+    word = F.call_function(function, x.cast("bigint"), n.cast("int"))
+    return F.when(x.isNotNull() & n.isNotNull(), F.when(n.between(0, 63), word).otherwise(F.lit(0).cast("bigint")))
 
 
-def shift_right(x: Column, n: int) -> Column:
-    return F.when(x.isNotNull(), F.shiftrightunsigned(x.cast("bigint"), n) if 0 <= n < 64 else F.lit(0).cast("bigint"))
+def shift_left(x: Column, n: Column | int) -> Column:
+    return _shift("shiftleft", x, n)
+
+
+def shift_right(x: Column, n: Column | int) -> Column:
+    return _shift("shiftrightunsigned", x, n)

@@ -65,3 +65,14 @@ def test_spatial(spark):
         spatial.distance(g("POINT(7 2)"), square), spatial.as_text(square), spatial.as_geojson(g("POINT(1 2)")), spatial.from_text(F.lit("nothing")), spatial.srid(spatial.from_text(F.lit("POINT(1 1)"), 4326)),
     )
     assert got == [5.0, True, False, True, True, 3.0, "POLYGON((0 0,4 0,4 4,0 4,0 0),(1 1,2 1,2 2,1 2,1 1))", '{"type":"Point","coordinates":[1.0,2.0]}', None, 4326]
+
+
+def test_shift_counts_from_a_column(spark):
+    from pyspark.sql import functions as F
+
+    from sparkloom.functions import bitwise
+
+    rows = [(1, 3), (-1, 63), (5, 64), (5, -1), (None, 1), (5, None), (8, 0)]
+    df = spark.createDataFrame(rows, "x bigint, n int")
+    got = df.select(bitwise.shift_left(F.col("x"), F.col("n")).alias("l"), bitwise.shift_right(F.col("x"), F.col("n")).alias("r")).collect()
+    assert [(r.l, r.r) for r in got] == [(8, 0), (-(1 << 63), 1), (0, 0), (0, 0), (None, None), (None, None), (8, 8)]
