@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import scratch_path
+
 NATURAL, BOOLEAN, EXPANSION = "natural", "boolean", "expansion"
 
 
@@ -19,20 +22,31 @@ def query_terms(query: str) -> list[str]:
     return sorted({t for t in re.split(r"[^\w]+", query.lower()) if t})
 
 
-def _frequencies(docs: DataFrame, id_col: str, text: Column, wanted: list[str]) -> DataFrame:
-    """(id, term, tf) for the wanted terms only: other words never leave the row."""
-    found = F.filter(terms(text), lambda t: t.isin(*wanted))
-    return docs.select(F.col(id_col).alias("id"), F.explode(found).alias("term")).groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+def _pattern(words: list[str], prefix: bool = False) -> str:
+    """The words one after another, as whole terms (the last one may be the beginning of one)."""
+    return r"(?<![\p{L}\p{N}_])" + r"[^\p{L}\p{N}_]+".join(words) + ("" if prefix else r"(?![\p{L}\p{N}_])")
+
+
+def _lower(text: Column) -> Column:
+    return F.lower(F.coalesce(text, F.lit("")))
 
 
 def natural(docs: DataFrame, id_col: str, text: Column, query: str | list[str]) -> DataFrame:
     """``id`` and ``relevance`` of documents with a query term: sum of tf * ln((N + 1) / (df + 0.5)), to six places."""
     wanted = query_terms(query) if isinstance(query, str) else query
-    tf = _frequencies(docs, id_col, text, wanted)
-    total = docs.agg(F.count(F.lit(1)).alias("n_docs"))  # one row
-    idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(total)).select("term", F.log((F.col("n_docs") + 1) / (F.col("df") + 0.5)).alias("idf"))
-    scored = tf.join(F.broadcast(idf), "term")  # a row for each query term
-    return scored.groupBy("id").agg(F.round(F.sum(F.col("tf") * F.col("idf")), 6).alias("relevance")).where("relevance > 0")
+    low, names = F.col("_low"), [f"_tf{i}" for i in range(len(wanted))]
+    if not wanted:
+        return docs.select(F.col(id_col).alias("id"), F.lit(0.0).alias("relevance")).where(F.lit(False))
+    # A text without any of the terms as a plain string is never searched by pattern.
+    near = docs.select(F.col(id_col).alias("id"), _lower(text).alias("_low")).where(reduce(lambda a, b: a | b, [F.contains(low, F.lit(t)) for t in wanted]))
+    tf = near.groupBy("id").agg(*[F.sum(F.regexp_count(low, F.lit(_pattern([t])))).alias(n) for t, n in zip(wanted, names, strict=True)])
+    path = scratch_path(docs.sparkSession, "term_counts")
+    tf.write.parquet(path)
+    tf = docs.sparkSession.read.schema(tf.schema).parquet(path)
+    total = docs.agg(F.count(F.lit(1)).alias("_docs"))  # one row
+    seen = tf.agg(*[F.count_if(F.col(n) > 0).alias(f"_df{n}") for n in names]).crossJoin(total)  # one row
+    score = reduce(lambda a, b: a + b, [F.col(n) * F.log((F.col("_docs") + 1) / (F.col(f"_df{n}") + 0.5)) for n in names])
+    return tf.crossJoin(F.broadcast(seen)).select("id", F.round(score, 6).alias("relevance")).where("relevance > 0")
 
 
 def boolean(docs: DataFrame, id_col: str, text: Column, query: str) -> DataFrame:
@@ -43,13 +57,14 @@ def boolean(docs: DataFrame, id_col: str, text: Column, query: str) -> DataFrame
         {"+": need, "-": banned, "": may}[sign].append(phrase or word)
 
     def has(t: str) -> Column:
-        if " " in t:
-            return F.contains(F.concat(F.lit(" "), F.array_join("_terms", " "), F.lit(" ")), F.lit(" " + " ".join(re.split(r"\W+", t.lower())) + " "))
-        if t.endswith("*"):
-            return F.exists("_terms", lambda x: x.startswith(t[:-1].lower()))
-        return F.array_contains("_terms", t.lower())
-
-    out = docs.select(F.col(id_col).alias("id"), terms(text).alias("_terms"))
+        prefix = t.endswith("*") and " " not in t
+        words = re.findall(r"\w+", t[:-1].lower() if prefix else t.lower())
+        if not words or "*" in t[:-1]:
+            return F.lit(False)
+        gate = reduce(lambda a, b: a & b, [F.contains("_low", F.lit(w)) for w in words])
+        return gate & F.col("_low").rlike(_pattern(words, prefix))
+
+    out = docs.select(F.col(id_col).alias("id"), _lower(text).alias("_low"))
     for t in need:
         out = out.where(has(t))
     for t in banned:
@@ -62,7 +77,7 @@ def boolean(docs: DataFrame, id_col: str, text: Column, query: str) -> DataFrame
 def expanded(docs: DataFrame, id_col: str, text: Column, query: str, top: int = 3, more: int = 5) -> DataFrame:
     """A second search with the ``more`` most frequent terms of the ``top`` documents of the first one."""
     first = natural(docs, id_col, text, query).orderBy(F.desc("relevance"), "id").limit(top)
-    best = docs.join(F.broadcast(first.select("id")), F.col(id_col) == F.col("id"), "left_semi")
+    best = docs.join(F.broadcast(first.select(F.col("id").alias("_match"))), F.col(id_col) == F.col("_match"), "left_semi")  # ``top`` rows
     counts = best.select(F.explode(terms(text)).alias("term")).groupBy("term").count().orderBy(F.desc("count"), "term").limit(more)
     wanted = sorted({*query_terms(query), *[r.term for r in counts.collect()]})  # a few words
     return natural(docs, id_col, text, wanted)
@@ -72,4 +87,5 @@ def match(docs: DataFrame, id_col: str, columns: list[str], query: str, mode: st
     """``docs`` that match, with ``relevance``."""
     text = F.concat_ws(" ", *columns)
     found = {NATURAL: natural, BOOLEAN: boolean, EXPANSION: expanded}[mode](docs, id_col, text, query)
-    return docs.join(found, F.col(id_col) == F.col("id")).drop("id")
+    found = found.withColumnRenamed("id", "_match")
+    return docs.join(found, F.col(id_col) == F.col("_match")).drop("_match")
