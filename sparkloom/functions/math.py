@@ -8,6 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_LARGE = 2.0**53
+
+
 def _col(x: Column | float) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
@@ -48,12 +51,21 @@ def floor(x: Column) -> Column:
 
 
 def truncate(x: Column, digits: int = 0) -> Column:
-    """Toward zero, to ``digits`` places; negative digits clear places before the point."""
-    x = x.cast("decimal(38,10)") if digits > 0 else x
-    scale = F.lit(10**abs(digits))
-    scaled = x * scale if digits >= 0 else x / scale
-    whole = F.when(scaled >= 0, F.floor(scaled)).otherwise(F.ceil(scaled)).cast("double")
-    return whole / scale if digits >= 0 else whole * scale
+    """Toward zero, to ``digits`` places (above 22 nothing is cut); negative digits clear places before the point.
+
+    Numbers of 2^53 and more, NaN and infinities have no places after the point and stay as they are."""
+    wide = x.cast("double")
+    if digits > 22:
+        return wide
+    if digits <= 0:
+        scaled = wide / F.lit(10.0**-digits)
+        return F.signum(scaled) * _whole(F.abs(scaled)) * F.lit(10.0**-digits)
+    exact = F.when(F.abs(wide) < _LARGE, x).cast("decimal(38,22)")
+    return F.coalesce(F.when(exact >= 0, F.floor(exact, F.lit(digits))).otherwise(F.ceil(exact, F.lit(digits))).cast("double"), wide)
+
+
+def _whole(x: Column) -> Column:
+    return F.when(x < _LARGE, F.floor(F.when(x < _LARGE, x)).cast("double")).otherwise(x)
 
 
 def greatest(*xs: Column) -> Column:

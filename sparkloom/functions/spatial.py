@@ -1,4 +1,7 @@
-"""Planar geometry as struct<type, srid, parts>, each part a list of points: rings of polygons, lines, or points."""
+"""Planar geometry as struct<type, srid, parts, rings>.
+
+Each part is a list of points: a ring, a line or a single point. ``rings`` has the number of rings of each polygon of a
+MULTIPOLYGON, and is NULL for other types."""
 
 from __future__ import annotations
 
@@ -8,11 +11,14 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-GEOMETRY = "struct<type:string,srid:int,parts:array<array<struct<x:double,y:double>>>>"
+GEOMETRY = "struct<type:string,srid:int,parts:array<array<struct<x:double,y:double>>>,rings:array<int>>"
+# Types by their number in the binary form, and names in GeoJSON.
+_TYPES = {1: "POINT", 2: "LINESTRING", 3: "POLYGON", 4: "MULTIPOINT", 5: "MULTILINESTRING", 6: "MULTIPOLYGON"}
+_NAMES = {"POINT": "Point", "LINESTRING": "LineString", "POLYGON": "Polygon", "MULTIPOINT": "MultiPoint", "MULTILINESTRING": "MultiLineString", "MULTIPOLYGON": "MultiPolygon"}
 
 
 def from_text(wkt: Column, srid: int = 0) -> Column:
-    """Points, lines, polygons and their collections; text of another form is NULL."""
+    """Points, lines, polygons and multiples of one of these; text of another form is NULL, collections of mixed types too."""
     kind = F.upper(F.regexp_extract(wkt, r"^\s*([A-Za-z]+)\s*\(", 1))
 
     def point(text: Column) -> Column:
@@ -20,16 +26,17 @@ def from_text(wkt: Column, srid: int = 0) -> Column:
         return F.struct(F.get(xy, F.lit(0)).cast("double").alias("x"), F.get(xy, F.lit(1)).cast("double").alias("y"))
 
     parts = F.transform(F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1)), lambda p: F.transform(F.split(p, ","), point))
-    return F.when(kind != "", F.struct(kind.alias("type"), F.lit(srid).alias("srid"), parts.alias("parts")).cast(GEOMETRY))
+    parts = F.when(kind == "MULTIPOINT", F.transform(F.flatten(parts), lambda c: F.array(c))).otherwise(parts)
+    polygons = F.split(wkt, r"\)\s*\)\s*,\s*\(\s*\(")
+    rings = F.when(kind == "MULTIPOLYGON", F.transform(polygons, lambda p: F.regexp_count(p, F.lit(r"[-+.\d][^(),]*(,[^(),]*)*"))))
+    return F.when(kind.isin(*_NAMES), F.struct(kind.alias("type"), F.lit(srid).alias("srid"), parts.alias("parts"), rings.alias("rings")).cast(GEOMETRY))
 
 
 def from_wkb(wkb: Column, srid: int = 0) -> Column:
-    """Points, lines and polygons in the binary form, decoded in Arrow batches."""
+    """Points, lines, polygons and multiples of one of these in the binary form, decoded in Arrow batches; other bytes give NULL."""
 
     def decode(b: bytes) -> dict:
-        order = "<" if b[0] else ">"
-        kind = struct.unpack_from(order + "I", b, 1)[0]
-        at = 5
+        at, order = 0, "<"
 
         def points(n: int) -> list:
             nonlocal at
@@ -42,20 +49,37 @@ def from_wkb(wkb: Column, srid: int = 0) -> Column:
             at += 4
             return struct.unpack_from(order + "I", b, at - 4)[0]
 
-        if kind == 1:
-            return {"type": "POINT", "srid": srid, "parts": [points(1)]}
-        if kind == 2:
-            return {"type": "LINESTRING", "srid": srid, "parts": [points(number())]}
-        if kind == 3:
-            return {"type": "POLYGON", "srid": srid, "parts": [points(number()) for _ in range(number())]}
-        raise ValueError(f"binary geometry of kind {kind}")
+        def shape() -> tuple[str, list, list[int] | None]:
+            nonlocal at, order
+            order = "<" if b[at] else ">"
+            at += 1
+            kind = _TYPES[number()]
+            if kind == "POINT":
+                return kind, [points(1)], None
+            if kind == "LINESTRING":
+                return kind, [points(number())], None
+            if kind == "POLYGON":
+                return kind, [points(number()) for _ in range(number())], None
+            inner = [shape() for _ in range(number())]
+            if any(f"MULTI{i[0]}" != kind for i in inner):
+                raise ValueError(f"{kind} of other types")
+            return kind, [p for i in inner for p in i[1]], [len(i[1]) for i in inner] if kind == "MULTIPOLYGON" else None
+
+        kind, parts, rings = shape()
+        return {"type": kind, "srid": srid, "parts": parts, "rings": rings}
+
+    def decoded(b: bytes | None) -> dict | None:
+        try:
+            return None if b is None else decode(b)
+        except (struct.error, IndexError, KeyError, ValueError):
+            return None
 
     xy = pa.struct([("x", pa.float64()), ("y", pa.float64())])
-    shape = pa.struct([("type", pa.string()), ("srid", pa.int32()), ("parts", pa.list_(pa.list_(xy)))])
+    shape = pa.struct([("type", pa.string()), ("srid", pa.int32()), ("parts", pa.list_(pa.list_(xy))), ("rings", pa.list_(pa.int32()))])
 
     @F.arrow_udf(GEOMETRY)
     def over(batch: pa.Array) -> pa.Array:
-        return pa.array([None if b is None else decode(b) for b in batch.to_pylist()], shape)
+        return pa.array([decoded(b) for b in batch.to_pylist()], shape)
 
     return over(wkb)
 
@@ -64,20 +88,34 @@ def _number(x: Column) -> Column:
     return F.when(x == F.floor(x), F.floor(x).cast("string")).otherwise(x.cast("string"))
 
 
+def _polygons(g: Column) -> Column:
+    """The parts, by polygon."""
+
+    def of(h: Column) -> Column:
+        before = lambda i: F.aggregate(F.slice(h["rings"], F.lit(1), i), F.lit(0), lambda a, n: a + n)
+        return F.transform(h["rings"], lambda n, i: F.slice(h["parts"], before(i) + 1, n))
+
+    # Bound once, as geometries may come from Python, which inner functions can't call.
+    return F.get(F.transform(F.array(g), of), F.lit(0))
+
+
 def as_text(g: Column) -> Column:
     part = lambda p: F.array_join(F.transform(p, lambda c: F.concat(_number(c["x"]), F.lit(" "), _number(c["y"]))), ",")
     flat = F.concat(g["type"], F.lit("("), part(F.get(g["parts"], F.lit(0))), F.lit(")"))
-    rings = F.concat(g["type"], F.lit("(("), F.array_join(F.transform(g["parts"], part), "),("), F.lit("))"))
-    return F.when(g["type"].isin("POINT", "LINESTRING"), flat).otherwise(rings)
+    listed = lambda parts: F.concat(F.lit("(("), F.array_join(F.transform(parts, part), "),("), F.lit("))"))
+    polygons = F.concat(g["type"], F.lit("("), F.array_join(F.transform(_polygons(g), listed), ","), F.lit(")"))
+    return F.when(g["type"].isin("POINT", "LINESTRING"), flat).when(g["type"] == "MULTIPOLYGON", polygons).otherwise(F.concat(g["type"], listed(g["parts"])))
 
 
 def as_geojson(g: Column) -> Column:
-    """Points, lines and polygons."""
     pair = lambda c: F.concat(F.lit("["), c["x"].cast("string"), F.lit(","), c["y"].cast("string"), F.lit("]"))
     part = lambda p: F.concat(F.lit("["), F.array_join(F.transform(p, pair), ","), F.lit("]"))
     first = F.get(g["parts"], F.lit(0))
-    inner = F.when(g["type"] == "POINT", pair(F.get(first, F.lit(0)))).when(g["type"] == "LINESTRING", part(first)).otherwise(F.concat(F.lit("["), F.array_join(F.transform(g["parts"], part), ","), F.lit("]")))
-    name = F.when(g["type"] == "POINT", "Point").when(g["type"] == "LINESTRING", "LineString").otherwise("Polygon")
+    listed = lambda parts: F.concat(F.lit("["), F.array_join(F.transform(parts, part), ","), F.lit("]"))
+    polygons = F.concat(F.lit("["), F.array_join(F.transform(_polygons(g), listed), ","), F.lit("]"))
+    inner = F.when(g["type"] == "POINT", pair(F.get(first, F.lit(0)))).when(g["type"] == "LINESTRING", part(first)).when(g["type"] == "MULTIPOINT", part(F.flatten(g["parts"])))
+    inner = inner.when(g["type"] == "MULTIPOLYGON", polygons).otherwise(listed(g["parts"]))
+    name = F.create_map(*[F.lit(x) for item in _NAMES.items() for x in item])[g["type"]]
     return F.concat(F.lit('{"type":"'), name, F.lit('","coordinates":'), inner, F.lit("}"))
 
 
@@ -86,7 +124,7 @@ def srid(g: Column) -> Column:
 
 
 def point(x: Column, y: Column, srid: int = 0) -> Column:
-    return F.struct(F.lit("POINT").alias("type"), F.lit(srid).alias("srid"), F.array(F.array(F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")))).alias("parts"))
+    return F.struct(F.lit("POINT").alias("type"), F.lit(srid).alias("srid"), F.array(F.array(F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")))).alias("parts"), F.lit(None).cast("array<int>").alias("rings"))
 
 
 def _edges(g: Column) -> Column:
@@ -143,7 +181,8 @@ def intersects(a: Column, b: Column) -> Column:
     p, q = _box(a), _box(b)
     near = (p["x0"] <= q["x1"]) & (q["x0"] <= p["x1"]) & (p["y0"] <= q["y1"]) & (q["y0"] <= p["y1"])
     crossing = F.exists(_edges(a), lambda e: F.exists(_edges(b), lambda f: _cross(e, f)))
-    inner = (b["type"] == "POLYGON") & F.exists(_points(a), lambda c: _inside(c, b)) | (a["type"] == "POLYGON") & F.exists(_points(b), lambda c: _inside(c, a))
+    areas = ("POLYGON", "MULTIPOLYGON")
+    inner = b["type"].isin(*areas) & F.exists(_points(a), lambda c: _inside(c, b)) | a["type"].isin(*areas) & F.exists(_points(b), lambda c: _inside(c, a))
     return near & (crossing | inner)
 
 

@@ -1,5 +1,7 @@
 """Semantics that the sample tables don't show: NULLs, zeros, edges of ranges."""
 
+import struct
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def test_math(spark):
     assert got == [3.0, -2.0, None, None, None, -1.7, 1200.0, None, 1]
 
 
+@pytest.mark.parametrize("x, digits, want", [(1e30, 2, 1e30), (1e30, 0, 1e30), (1e30, -2, 1e30), (0.123456789012, 11, 0.12345678901), (0.29, 2, 0.29), (-0.29, 1, -0.2), (-1.9, 0, -1.0), (-1279.0, -2, -1200.0), (None, 2, None), (float("inf"), 1, float("inf")), (1.5, 30, 1.5)])
+def test_truncate(spark, x, digits, want):
+    assert one(spark, math.truncate(F.lit(x).cast("double"), digits)) == [want]
+
+
 def test_bitwise(spark):
     got = one(spark, bitwise.bit_count(F.lit(-1).cast("bigint")), bitwise.shift_right(F.lit(-1), 1), bitwise.shift_left(F.lit(1), 64), bitwise.shift_left(F.lit(1), 63), bitwise.get_bit(F.lit(5), 2), bitwise.shift_right(F.lit(None).cast("int"), 70), bitwise.bit_xor(F.lit(6), F.lit(3)))
     assert got == [64, 2**63 - 1, 0, -(2**63), 1, None, 5]
@@ -76,3 +83,40 @@ def test_shift_counts_from_a_column(spark):
     df = spark.createDataFrame(rows, "x bigint, n int")
     got = df.select(bitwise.shift_left(F.col("x"), F.col("n")).alias("l"), bitwise.shift_right(F.col("x"), F.col("n")).alias("r")).collect()
     assert [(r.l, r.r) for r in got] == [(8, 0), (-(1 << 63), 1), (0, 0), (0, 0), (None, None), (None, None), (8, 8)]
+
+
+MULTI = {
+    "MULTIPOINT((1 2),(3 4))": '{"type":"MultiPoint","coordinates":[[1.0,2.0],[3.0,4.0]]}',
+    "MULTILINESTRING((0 0,1 1),(2 2,3 3,4 4))": '{"type":"MultiLineString","coordinates":[[[0.0,0.0],[1.0,1.0]],[[2.0,2.0],[3.0,3.0],[4.0,4.0]]]}',
+    "MULTIPOLYGON(((0 0,4 0,4 4,0 0),(1 1,2 1,2 2,1 1)),((8 8,9 8,9 9,8 8)))": '{"type":"MultiPolygon","coordinates":[[[[0.0,0.0],[4.0,0.0],[4.0,4.0],[0.0,0.0]],[[1.0,1.0],[2.0,1.0],[2.0,2.0],[1.0,1.0]]],[[[8.0,8.0],[9.0,8.0],[9.0,9.0],[8.0,8.0]]]]}',
+}
+
+
+@pytest.mark.parametrize("wkt", MULTI)
+def test_spatial_multiples(spark, wkt):
+    g = spatial.from_text(F.lit(wkt))
+    assert one(spark, spatial.as_text(g), spatial.as_geojson(g)) == [wkt, MULTI[wkt]]
+    assert one(spark, spatial.as_text(spatial.from_text(F.lit("MULTIPOINT(1 2, 3 4)")))) == ["MULTIPOINT((1 2),(3 4))"]
+
+
+def test_spatial_multipolygon_relations(spark):
+    g = spatial.from_text(F.lit("MULTIPOLYGON(((0 0,4 0,4 4,0 4,0 0),(1 1,2 1,2 2,1 2,1 1)),((8 8,9 8,9 9,8 9,8 8)))"))
+    at = lambda x, y: spatial.point(F.lit(x), F.lit(y))
+    assert one(spark, spatial.within(at(3, 3), g), spatial.within(at(1.5, 1.5), g), spatial.intersects(at(8.5, 8.5), g), spatial.distance(at(8.5, 7), g)) == [True, False, True, 1.0]
+
+
+def test_spatial_binary_forms(spark):
+    point = lambda x, y: struct.pack("<BI2d", 1, 1, x, y)
+    ring = struct.pack("<I6d", 3, 0, 0, 1, 0, 0, 0)
+    polygon = struct.pack("<BII", 1, 3, 1) + ring
+    forms = {
+        point(1, 2): "POINT(1 2)",
+        struct.pack("<BII", 1, 4, 2) + point(1, 2) + point(3, 4): "MULTIPOINT((1 2),(3 4))",
+        struct.pack(">BII", 0, 6, 2) + polygon + polygon: "MULTIPOLYGON(((0 0,1 0,0 0)),((0 0,1 0,0 0)))",
+        struct.pack("<BII", 1, 5, 1) + point(1, 2): None,  # a point among lines
+        struct.pack("<BII", 1, 7, 0): None,
+        b"": None,
+        point(1, 2)[:-1]: None,
+    }
+    got = spark.createDataFrame([(bytearray(b),) for b in forms], "b binary").select("b", spatial.as_text(spatial.from_wkb(F.col("b")))).collect()
+    assert {bytes(r[0]): r[1] for r in got} == forms
