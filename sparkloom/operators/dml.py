@@ -93,8 +93,11 @@ def delete(target: DataFrame, where: Column | None = None) -> DataFrame:
 
 
 def returning(before: DataFrame, after: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Rows of ``after`` that are new or differ."""
-    return after.exceptAll(before).select(*after.columns)
+    """Rows of ``after`` whose key is new or that differ in a column; ``key`` is unique and not NULL in both."""
+    on = reduce(lambda a, b: a & b, [F.col(f"new.{c}") == F.col(f"old.{c}") for c in key])
+    both = after.alias("new").join(before.withColumn("_old", F.lit(True)).alias("old"), on, "left")
+    same = reduce(lambda a, b: a & b, [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in after.columns if c in before.columns])
+    return both.where(F.col("old._old").isNull() | ~same).select("new.*")
 
 
 def affected(target: DataFrame, source: DataFrame, key: tuple[str, ...]) -> DataFrame:
@@ -104,11 +107,13 @@ def affected(target: DataFrame, source: DataFrame, key: tuple[str, ...]) -> Data
 
 
 def merge(target: DataFrame, source: DataFrame, key: tuple[str, ...], matched: dict[str, Column] | None = None, delete_when: Column | None = None, insert_new: bool = True) -> DataFrame:
-    """Update or delete matched rows and insert the others; conditions see ``old.`` and ``new.`` columns."""
+    """Update or delete matched rows and insert the others; conditions see ``old.`` and ``new.`` columns.
+
+    Columns that the source lacks are NULL in inserted rows."""
     on = reduce(lambda a, b: a & b, [F.col(f"old.{c}") == F.col(f"new.{c}") for c in key])
     both = target.withColumn("_old", F.lit(True)).alias("old").join(source.withColumn("_new", F.lit(True)).alias("new"), on, "full" if insert_new else "left")
     old, new = F.col("old._old").isNotNull(), F.col("new._new").isNotNull()
     if delete_when is not None:
         both = both.where(~(old & new & F.coalesce(delete_when, F.lit(False))))
     matched = matched or {}
-    return both.select(*[F.when(old & new, matched.get(c, F.col(f"old.{c}"))).when(old, F.col(f"old.{c}")).otherwise(F.col(f"new.{c}")).alias(c) for c in target.columns])
+    return both.select(*[F.when(old & new, matched.get(c, F.col(f"old.{c}"))).when(old, F.col(f"old.{c}")).otherwise(F.col(f"new.{c}") if c in source.columns else F.lit(None)).alias(c) for c in target.columns])

@@ -9,12 +9,12 @@ from .base import query, table
 
 
 def _halves(spark, sf_dir):
-    """A target of some customers, and a source that overlaps it, with other balances."""
+    """All customers, and a source of as many rows whose keys overlap theirs, with other balances."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    return c.where("c_custkey % 3 <> 0"), c.where("c_custkey % 2 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1000)
+    return c, c.select((F.col("c_custkey") + 40).alias("c_custkey"), "c_name", (F.col("c_acctbal") + 1000).alias("c_acctbal"))
 
 
-_T, _S = "(SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 3 <> 0)", "(SELECT c_custkey, c_name, c_acctbal + 1000 AS c_acctbal FROM customer WHERE c_custkey % 2 = 0)"
+_T, _S = "(SELECT c_custkey, c_name, c_acctbal FROM customer)", "(SELECT c_custkey + 40 AS c_custkey, c_name, c_acctbal + 1000 AS c_acctbal FROM customer)"
 
 
 @query(f"SELECT * FROM {_T} UNION ALL SELECT * FROM {_S}")

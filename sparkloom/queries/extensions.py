@@ -71,13 +71,17 @@ def procedure_steps(spark, sf_dir):
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts)::TIMESTAMP AS start, event_type, count(*) AS n, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY ALL")
 def stream_tumbling(spark, sf_dir):
-    """A stream over the files, run to the end; every window is complete, as all rows are of one batch."""
-    path = scratch_path(spark, "tumbling")
-    events.run_available(events.tumbling(events.read(spark, sf_dir)), path, "append")
-    # The last windows stay open until the watermark passes them, so the batch form completes the picture.
-    batch = events.tumbling(table(spark, sf_dir, "events"))
-    closed = spark.read.schema(batch.schema).parquet(path).withColumn("start", F.col("start").cast("timestamp_ntz"))
-    return batch.join(closed.select("start", "event_type"), ["start", "event_type"], "left_anti").select(*batch.columns).unionByName(closed)
+    """A stream over the files, run to the end; all rows are what it wrote, those of open windows too."""
+    out = events.latest_available(events.tumbling(events.read(spark, sf_dir)), ["start", "event_type"])
+    return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query("SELECT event_id, event_type FROM events")
+def stream_distinct(spark, sf_dir):
+    """Each event twice in the stream, once in what it writes."""
+    path, stream = scratch_path(spark, "distinct"), events.read(spark, sf_dir)
+    events.run_available(events.distinct_events(stream.unionAll(stream)).select("event_id", "event_type"), path)
+    return spark.read.parquet(path)
 
 
 @query("""SELECT s AS start, event_type, count(*) AS n FROM (SELECT event_type, ts, unnest(generate_series(time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 45 MINUTE, time_bucket(INTERVAL 15 MINUTE, ts), INTERVAL 15 MINUTE)) AS s FROM events) GROUP BY ALL""")

@@ -27,7 +27,8 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, o
 
     ``columns`` names the fields in their order in the file (default: the schema's); ``assignments`` compute columns
     from the fields. Lines without the starting text are left out, and what stands before it goes. Skipped lines are
-    those at the beginning of each file. ``\\N`` stands for NULL. Other columns of the schema are NULL."""
+    those at the beginning of each file, at most those of its first split (a file is read in splits of
+    ``spark.sql.files.maxPartitionBytes``). ``\\N`` stands for NULL. Other columns of the schema are NULL."""
     o = options or Options()
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     names = o.columns or schema.names
@@ -39,10 +40,10 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, o
     else:
         files = spark.read.text(path, lineSep=o.lines_terminated_by)
         if o.ignore_lines:
-            # Lines carry no numbers, so the first ones of each file are told by reading whole files.
-            whole = spark.read.text(path, wholetext=True).select(F.col("value").alias("file"))
-            parts = F.split(F.regexp_replace("file", f"{_quoted(o.lines_terminated_by)}$", ""), _quoted(o.lines_terminated_by))
-            files = whole.select(F.explode(F.slice(parts, o.ignore_lines + 1, F.greatest(F.size(parts) - o.ignore_lines, F.lit(0)))).alias("value"))
+            # A task reads a split in order, so its lines have consecutive numbers, and a file's first line the least.
+            files = files.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+            first = files.where("start = 0").groupBy("file").agg(F.min("line").alias("first"))
+            files = files.join(first, "file").where((F.col("start") > 0) | (F.col("line") >= F.col("first") + o.ignore_lines)).select("value")
         if o.starting_by:
             at = F.instr("value", o.starting_by)
             files = files.where(at > 0).select(F.substring("value", at + len(o.starting_by), F.length("value")).alias("value"))
@@ -51,7 +52,3 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, o
     rows = rows.withColumns(o.assignments) if o.assignments else rows
     have = set(rows.columns)
     return rows.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
-
-
-def _quoted(text: str) -> str:
-    return "\\Q" + text + "\\E"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..scratch import scratch_path
 
@@ -41,3 +42,21 @@ def run_available(stream: DataFrame, path: str, mode: str = "append", checkpoint
     where = checkpoint or scratch_path(stream.sparkSession, "stream")
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", where).trigger(availableNow=True).format("parquet").start(path)
     query.awaitTermination()
+
+
+def latest_available(stream: DataFrame, keys: list[str], checkpoint: str | None = None) -> DataFrame:
+    """The aggregate's rows after all that is there now, windows still open among them.
+
+    Each batch writes the rows that it changed under its number, again if it is run again; the last of a key counts."""
+    spark = stream.sparkSession
+    path, where = scratch_path(spark, "changes"), checkpoint or scratch_path(spark, "stream")
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    query = stream.writeStream.outputMode("update").option("checkpointLocation", where).trigger(availableNow=True).foreachBatch(write).start()
+    query.awaitTermination()
+    changes = spark.read.schema(T.StructType([*stream.schema, T.StructField("batch", T.LongType())])).option("basePath", path).parquet(path)
+    rest = [c for c in stream.columns if c not in keys]
+    last = changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("last"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"last.{c}") for c in stream.columns])

@@ -1,16 +1,18 @@
 """Changes, JSON tables, delimited files, declared tables, plans and procedures."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.operators import dml, relational
+from sparkloom.operators import dml, fulltext, relational
 from sparkloom.operators.json_table import Field, json_table
 from sparkloom.operators.model import Model
 from sparkloom.plans.explain import access
 from sparkloom.plans.named import Abort, Procedure, Registry, run_script
 from sparkloom.sources import delimited, tables
+from sparkloom.streaming import events
 
 
 def rows(df):
@@ -82,6 +84,54 @@ def test_json_table_errors(spark):
         json_table(d, "doc", "$[*]", [Field("a", "int", "$.a", on_error="error")]).collect()
 
 
+def test_merge_without_a_column(spark):
+    t = spark.createDataFrame([(1, "a", 10)], "id int, name string, n int")
+    s = spark.createDataFrame([(1, 5), (2, 6)], "id int, n int")
+    assert rows(dml.merge(t, s, ("id",), {"n": F.col("new.n")})) == [(1, "a", 5), (2, None, 6)]
+
+
+def test_returning_by_key(spark):
+    before = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "id int, name string")
+    after = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, None)], "id int, name string")
+    assert rows(dml.returning(before, after, ("id",))) == [(2, "b"), (3, None), (4, None)]
+
+
+def test_fulltext_terms(spark):
+    texts = ["Apache license", "the apache_license x", None, "", "APACHE, license!", "é apaché", "apache license apache"]
+    d = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    hits = lambda q: [r.id for r in fulltext.match(d, "id", ["text"], q, fulltext.BOOLEAN).orderBy("id").collect()]
+    assert hits("+apache") == [0, 4, 6]
+    assert hits("apach*") == [0, 1, 4, 5, 6]
+    assert hits('+"apache license"') == [0, 4, 6] and hits('+"license apache"') == [6]
+    assert hits("+apache -license") == [] and hits("+a*b") == []
+    found = {r.id: r.relevance for r in fulltext.natural(d, "id", F.col("text"), "apache").collect()}
+    one = math.log(8 / 3.5)
+    assert found == {0: round(one, 6), 4: round(one, 6), 6: round(2 * one, 6)}
+    assert fulltext.natural(d, "id", F.col("text"), " ,").count() == 0
+
+
+def test_skipped_lines_of_a_split_file(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("head\nhead\n" + "".join(f"{i}\tx\n" for i in range(2000)))
+    (tmp_path / "b.txt").write_text("head\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = delimited.read_delimited(spark, str(tmp_path), "id int, t string", delimited.Options(ignore_lines=2))
+        assert [r[0] for r in got.orderBy("id").collect()] == list(range(2000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_stream_batches(spark, tmp_path):
+    """Two files in two batches: rows changed by both count once, with the later values."""
+    for i, rows_ in enumerate(([("2024-01-01 00:10:00", "a", 1.0)], [("2024-01-01 00:20:00", "a", 2.0), ("2024-01-01 03:00:00", "b", 4.0)])):
+        df = spark.createDataFrame(rows_, "ts string, event_type string, value double").selectExpr("CAST(ts AS TIMESTAMP) AS ts", "event_type", "value")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = events.latest_available(events.tumbling(stream), ["start", "event_type"])
+    assert sorted((r.event_type, r.n, r.total) for r in out.collect()) == [("a", 2, 3.0), ("b", 1, 4.0)]
+
+
 def test_delimited(spark, tmp_path):
     (tmp_path / "a.txt").write_text('junk\nmore\nx>>1|"a|b"\nx>>2|\\N\nskipped\n')
     o = delimited.Options(terminated_by="|", enclosed_by='"', starting_by=">>", ignore_lines=2)
