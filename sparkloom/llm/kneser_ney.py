@@ -1,36 +1,39 @@
 """Interpolated modified Kneser-Ney bigram model: counted in Spark, kept as sorted hash arrays, memory-mapped to score.
 
-Counting tasks send blocks of sorted, combined counts to shards by hash range; a shard's task merges its blocks and
-writes sorted arrays to the shared folder. Bigrams are sharded by their first word, so each shard also has whole
-statistics of its contexts. Scoring tasks map the arrays and look up sorted queries; no task or driver holds the model.
+Counting tasks send blocks of sorted, combined counts to shards by hash range; a shard's task folds its blocks one
+after the other and writes sorted arrays to the shared folder. Bigrams are sharded by ranges of both words, so that the
+followers of a very common word are split; sums of contexts are combined in a second step, as are counts of endings.
+Scoring tasks map the arrays and look up sorted queries; no task or driver holds the model.
 
 Words are 64-bit hashes; bigrams and contexts use their upper 48 bits, so that of a billion words a few thousand are
 taken for another (in counts for the unsmoothed base score none)."""
 
 from __future__ import annotations
 
-import atexit
 import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import byte_slices, load, scratch_path, text_bytes, text_or_empty
 from .hashing import mixed, range_hashes
 
-#: Text that one step works on; tokens that a counting task combines at a time; text for each shard of the model.
-SLICE_BYTES, COMBINE_TOKENS, SHARD_BYTES = 1 << 22, 3_000_000, 1 << 25
+#: Text that one step works on; tokens that a counting task combines at a time; text for each shard of the model; rows
+#: that a shard's task reads at least before it folds them.
+SLICE_BYTES, COMBINE_TOKENS, SHARD_BYTES, FOLD_ROWS = 1 << 22, 3_000_000, 1 << 25, 1 << 20
 _END, _BEGIN = np.uint64(0xE4D0F7A1B3C59281), np.uint64(0xB0512D6E9A7C3F47)
-_WORDS, _BIGRAMS, _BEFORE, _STATS = range(4)
+_WORDS, _BIGRAMS, _BEFORE, _CONTEXTS, _STATS = range(5)
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,6 +72,12 @@ def _bigram(before: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mixed(before * np.uint64(0x9FB21C651E98DF25) + token)
 
 
+def _pair_shard(before: np.ndarray, token: np.ndarray, bits: int) -> np.ndarray:
+    """Half of the bits of a bigram's shard are of its first word, and half of its second one."""
+    second = bits // 2
+    return (before >> np.uint64(48 - (bits - second))) << np.uint64(second) | token >> np.uint64(48 - second)
+
+
 def _pack(*columns: np.ndarray) -> bytes:
     """Columns of one length as a block; 48-bit words take six bytes, and small counts next to nothing."""
     parts = [np.int64(len(columns[0])).tobytes()]
@@ -106,10 +115,10 @@ def _counted(tokens: np.ndarray, before: np.ndarray, bits: int) -> Iterator[dict
     v, w = _short(before), _short(tokens)
     _, at, n = np.unique(_bigram(v, w), return_index=True, return_counts=True)
     v, w = v[at], w[at]
-    order = np.lexsort((w, v))
-    v, w, n = v[order], w[order], n[order]
+    shard = _pair_shard(v, w, bits)
+    order = np.lexsort((w, v, shard))
+    v, w, n, shard = v[order], w[order], n[order], shard[order]
     # A run of one context is a step of zero, which compresses away.
-    shard = v >> np.uint64(48 - bits)
     cuts = np.searchsorted(shard, np.arange((1 << bits) + 1))
     for s in np.nonzero(np.diff(cuts))[0]:
         part = slice(cuts[s], cuts[s + 1])
@@ -122,7 +131,9 @@ def _classes(counts: np.ndarray, name: str) -> dict[str, int]:
 
 
 class _Folder:
-    """Arrays in a folder that all workers share; in a store without local paths they pass through a local copy."""
+    """Arrays in a folder that all workers share.
+
+    Of a store without local paths, a task maps copies in the executor's own folder for files, which go with the task."""
 
     def __init__(self, uri: str):
         self.uri, where = uri, urlparse(uri)
@@ -151,14 +162,17 @@ class _Folder:
         from pyarrow import fs
 
         if self.copies is None:
-            self.copies = tempfile.mkdtemp(prefix="kneser-ney-")
-            atexit.register(shutil.rmtree, self.copies, True)
+            self.copies = tempfile.mkdtemp(prefix="kneser-ney-", dir=SparkFiles.getRootDirectory())
         store, path = fs.FileSystem.from_uri(self.uri)
         if store.get_file_info(f"{path}/{name}.npy").type == fs.FileType.NotFound:
             return np.zeros(0, np.uint64)
         fs.copy_files(f"{path}/{name}.npy", f"{self.copies}/{name}.npy", source_filesystem=store, destination_filesystem=fs.LocalFileSystem())
         return np.load(f"{self.copies}/{name}.npy", mmap_mode="r")
 
+    def close(self) -> None:
+        if self.copies is not None:
+            shutil.rmtree(self.copies, True)
+
 
 def _summed(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sums of the columns for each key; keys come out sorted."""
@@ -170,18 +184,32 @@ def _summed(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
     return (keys[at], *[np.add.reduceat(c[order], at) for c in columns])
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[bytes]]]:
-    """(kind, shard, blocks) from rows sorted by both."""
-    now, blocks = None, []
-    for batch in batches:
-        for kind, shard, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if now != (kind, shard):
-                if blocks:
-                    yield *now, blocks
-                now, blocks = (kind, shard), []
-            blocks.append(block)
-    if blocks:
-        yield *now, blocks
+def _summed_bigrams(bigram: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sums of ``n`` for each bigram, with its words; bigrams come out sorted."""
+    order = np.argsort(bigram, kind="stable")
+    bigram = bigram[order]
+    at = np.nonzero(np.append(True, bigram[1:] != bigram[:-1]))[0]
+    return bigram[at], v[order[at]], w[order[at]], np.add.reduceat(n[order], at)
+
+
+def _folded(parts: Iterator[tuple[np.ndarray, ...]], combine: Callable[..., tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Columns of all parts, combined as they come: no more rows are held than about twice the distinct ones."""
+    held: list[tuple[np.ndarray, ...]] = []
+    done = size = 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size > max(FOLD_ROWS, done):
+            held = [combine(*map(np.concatenate, zip(*held, strict=True)))]
+            done, size = len(held[0][0]), 0
+    return combine(*map(np.concatenate, zip(*held, strict=True)))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, Iterator[bytes]]]:
+    """(kind, shard, blocks) from rows sorted by both; the blocks of one are read before the next."""
+    rows = ((*(c[i].as_py() for c in batch.columns[:2]), batch.columns[2][i]) for batch in batches for i in range(batch.num_rows))
+    for (kind, shard), group in groupby(rows, key=lambda r: r[:2]):
+        yield kind, shard, (r[2].as_py() for r in group)
 
 
 def _arrow(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
@@ -238,24 +266,17 @@ def train(docs: DataFrame, path: str, text_col: str = "text") -> Model:
         folder = _Folder(path)
         for kind, shard, blocks in _groups(batches):
             if kind == _WORDS:
-                words, n = _summed(*(np.concatenate(x) for x in zip(*[_unpack(b, 2) for b in blocks], strict=True)))
+                words, n = _folded((tuple(_unpack(b, 2)) for b in blocks), _summed)
                 folder.put(f"words-{shard}", words)
                 folder.put(f"word_counts-{shard}", n)
                 yield from _arrow([_stats(tokens=int(n.sum()), types=len(words))])
                 continue
-            parts = [(np.cumsum(v, dtype=np.uint64), w, n) for v, w, n in (_unpack(b, 3) for b in blocks)]
-            v, w, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-            del parts
-            bigram, at = np.unique(_bigram(v, w), return_inverse=True)
-            first = np.empty(len(bigram), np.int64)
-            first[at[::-1]] = np.arange(len(at))[::-1]
-            n = np.bincount(at, n, len(bigram)).astype(np.uint64)
-            v, w = v[first], w[first]
+            parts = ((np.cumsum(v, dtype=np.uint64), w, n) for v, w, n in (_unpack(b, 3) for b in blocks))
+            bigram, v, w, n = _folded(((_bigram(v, w), v, w, n) for v, w, n in parts), _summed_bigrams)
             folder.put(f"bigrams-{shard}", bigram)
             folder.put(f"bigram_counts-{shard}", np.minimum(n, 0xFFFFFFFF).astype(np.uint32))
             context, *sums = _summed(v, n, *[(n == k).astype(np.uint64) for k in (1, 2)], (n > 2).astype(np.uint64))
-            folder.put(f"contexts-{shard}", context)
-            folder.put(f"context_sums-{shard}", np.stack(sums, axis=1))
+            yield from _arrow(_by_shard(_CONTEXTS, bits, context >> np.uint64(48 - bits), context, *sums))
             yield from _arrow([_stats(**_classes(n, "n"))])
             words, before = np.unique(w, return_counts=True)
             yield from _arrow(_by_shard(_BEFORE, bits, words >> np.uint64(48 - bits), words, before))
@@ -265,8 +286,13 @@ def train(docs: DataFrame, path: str, text_col: str = "text") -> Model:
         for kind, shard, blocks in _groups(batches):
             if kind == _STATS:
                 found = [x.split("=") for b in blocks for x in b.decode().split(";")]
+            elif kind == _CONTEXTS:
+                context, *sums = _folded((tuple(_unpack(b, 5)) for b in blocks), _summed)
+                folder.put(f"contexts-{shard}", context)
+                folder.put(f"context_sums-{shard}", np.stack(sums, axis=1))
+                continue
             else:
-                words, n = _summed(*(np.concatenate(x) for x in zip(*[_unpack(b, 2) for b in blocks], strict=True)))
+                words, n = _folded((tuple(_unpack(b, 2)) for b in blocks), _summed)
                 folder.put(f"endings-{shard}", words)
                 folder.put(f"ending_counts-{shard}", n)
                 more = {"bigrams": int(n.sum()), "endings": len(n), "m3plus": int((n > 2).sum())} | _classes(n, "m")
@@ -277,7 +303,7 @@ def train(docs: DataFrame, path: str, text_col: str = "text") -> Model:
     merged = blocks.repartition(2 << bits, "kind", "shard").sortWithinPartitions("kind", "shard").mapInArrow(merge, _SCHEMA)
     # Statistics of shards are spread like blocks; only their sums, one row for each name, reach the driver.
     spread = F.when(F.col("kind") == _STATS, F.xxhash64("block") % 64).otherwise(F.col("shard"))
-    stats = merged.repartition(1 << bits, "kind", spread).sortWithinPartitions("kind", "shard").mapInArrow(finish, "name string, n bigint")
+    stats = merged.repartition(2 << bits, "kind", spread).sortWithinPartitions("kind", "shard").mapInArrow(finish, "name string, n bigint")
     return Model(path, bits, {r.name: r.n for r in stats.groupBy("name").agg(F.sum("n").alias("n")).collect()})
 
 
@@ -327,20 +353,24 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), te
         total = sums[:, 0]
         back = np.where(total > 0, (sums[:, 1:] @ d[1:]) / np.maximum(total, 1), 1.0)[at]
         bigram, first, inverse = np.unique(_bigram(_short(before), _short(token)), return_index=True, return_inverse=True)
-        k = lookup.get("bigrams", "bigram_counts", bigram, _short(before)[first] >> np.uint64(48 - model.bits))[inverse]
+        shard = _pair_shard(_short(before[first]), _short(token[first]), model.bits)
+        k = lookup.get("bigrams", "bigram_counts", bigram, shard)[inverse]
         p = (k - d[np.minimum(k, 3)]) / np.maximum(total[at], 1) + back * lower
         base = np.log10((c + 1) / (tokens + types + 1))
         return np.bincount(row, minlength=n), np.bincount(row, c > 0, n).astype(np.int64), np.bincount(row, base, n), np.bincount(row, np.log10(p), n)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, width = _Lookup(model), len(keep)
-        for batch in batches:
-            texts = batch.column(width)
-            parts = [of_slice(lookup, texts.slice(i, j - i)) for i, j in byte_slices(texts, SLICE_BYTES)]
-            if parts:
-                n, known, base, own = (np.concatenate(x) for x in zip(*parts, strict=True))
-                new = [n, known, np.full(len(n), tokens, np.int64), base, own, 10 ** (-own / n)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:width], *[pa.array(x) for x in new]], names=[*keep, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
+        try:
+            for batch in batches:
+                texts = batch.column(width)
+                parts = [of_slice(lookup, texts.slice(i, j - i)) for i, j in byte_slices(texts, SLICE_BYTES)]
+                if parts:
+                    n, known, base, own = (np.concatenate(x) for x in zip(*parts, strict=True))
+                    new = [n, known, np.full(len(n), tokens, np.int64), base, own, 10 ** (-own / n)]
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:width], *[pa.array(x) for x in new]], names=[*keep, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
+        finally:
+            lookup.folder.close()
 
     schema = docs.select(*keep).schema
     for name in ("n_tokens", "n_known", "train_tokens"):

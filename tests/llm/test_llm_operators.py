@@ -236,6 +236,28 @@ def test_kneser_ney(spark, sf, texts):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_kneser_ney_hot_context(spark, monkeypatch):
+    """A word before very many others, in 128 shards: its followers are spread, its sums are whole."""
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 300)
+    train = [(i, " ".join(f"the w{i * j % 997}" for j in range(200))) for i in range(20)]
+    docs = spark.createDataFrame(train, "doc_id long, text string")
+    model = kneser_ney.train(docs, scratch_path(spark, "lm"))
+    assert model.bits == 7
+    got = {r.doc_id: r.score for r in kneser_ney.score(docs, model).collect()}
+    want, _, _ = brute.kneser_ney(train, train)
+    assert got == pytest.approx({d: w[4] for d, w in want.items()}, rel=1e-9)
+
+
+def test_folded_counts(monkeypatch):
+    monkeypatch.setattr(kneser_ney, "FOLD_ROWS", 4)
+    rng = np.random.default_rng(1)
+    parts = [(rng.integers(0, 9, 5).astype(np.uint64), rng.integers(1, 4, 5).astype(np.uint64)) for _ in range(50)]
+    keys, n = kneser_ney._folded(iter(parts), kneser_ney._summed)
+    all_keys, all_n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    assert keys.tolist() == sorted(set(all_keys.tolist()))
+    assert n.tolist() == [int(all_n[all_keys == k].sum()) for k in keys]
+
+
 def test_kneser_ney_adds_up(spark):
     train = [(1, "a b c a b d"), (2, "a c"), (3, "b b a"), (4, "")]
     _, p, words = brute.kneser_ney(train, [])
