@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -129,8 +130,11 @@ def _paths(doc, like: re.Pattern, at: str = "$"):
             yield from _paths(x, like, f"{at}.{k}" if re.fullmatch(r"[A-Za-z_]\w*", k) else f'{at}."{k}"')
 
 
+_ENCODER = json.JSONEncoder(separators=(",", ":"), ensure_ascii=False, check_circular=False)
+
+
 def _compact(x) -> str:
-    return json.dumps(x, separators=(",", ":"), ensure_ascii=False)
+    return _ENCODER.encode(x)
 
 
 def _rowwise(result: str, f: Callable, *columns: Column) -> Column:
@@ -138,17 +142,47 @@ def _rowwise(result: str, f: Callable, *columns: Column) -> Column:
 
     @F.arrow_udf(result)
     def over(*batch: pa.Array) -> pa.Array:
-        out = []
-        for row in zip(*(c.to_pylist() for c in batch), strict=True):
-            try:
-                out.append(None if None in row else f(*map(json.loads, row)))
-            except ValueError:
-                out.append(None)
-        return pa.array(out, pa.bool_() if result == "boolean" else pa.string())
+        return _mapped(pa.bool_() if result == "boolean" else pa.string(), f, batch)
 
     return over(*columns)
 
 
+def _kinds(batch: tuple[pa.Array, ...]) -> tuple[pa.Array, pa.Array]:
+    """The kind of each row, and the first row of each kind of equal rows."""
+    code, first = np.zeros(len(batch[0]), np.int64), np.arange(min(1, len(batch[0])))
+    for c in batch:
+        found = c.dictionary_encode(null_encoding="encode")
+        if len(found.dictionary) > 1:
+            _, first, code = np.unique(code * len(found.dictionary) + found.indices.to_numpy(), return_index=True, return_inverse=True)
+    return pa.array(code), pa.array(first)
+
+
+def _reader(texts: list[str | None]) -> Callable:
+    """Reads a text as JSON; a number, string, boolean or null that all rows share is read once (an edit can change others in place)."""
+    one = texts[0] if texts else None
+    if one is None or texts.count(one) < len(texts):
+        return json.loads
+    try:
+        value = json.loads(one)
+    except ValueError:
+        return json.loads
+    return json.loads if isinstance(value, dict | list) else lambda _: value
+
+
+def _mapped(kind: pa.DataType, f: Callable, batch: tuple[pa.Array, ...]) -> pa.Array:
+    """``f`` is called once for equal rows of a batch."""
+    code, first = _kinds(batch)
+    texts = [c.take(first).to_numpy(zero_copy_only=False).tolist() for c in batch]  # faster than to_pylist
+    readers = [_reader(x) for x in texts]
+    out = []
+    for row in zip(*texts, strict=True):
+        try:
+            out.append(None if None in row else f(*[read(x) for read, x in zip(readers, row, strict=True)]))
+        except ValueError:
+            out.append(None)
+    return pa.array(out, kind).take(code)
+
+
 def _edited(doc: Column, pairs: tuple[tuple[str, Column], ...], add: bool, change: bool) -> Column:
     steps = [_steps(p) for p, _ in pairs]
 
